@@ -66,3 +66,133 @@ def keyword_dim(spark: SparkSession, sf: str) -> DataFrame:
     first = first.checkpoint()  # the "warehouse" after load 1
     second = keyword_delta(_keyword_source(load(spark, sf, "documents")), first)
     return first.unionByName(second)
+
+
+# ---------------------------------------------------------------------------
+# SQL helpers: the summary rules written as DuckDB SQL from the same table
+# ---------------------------------------------------------------------------
+
+def _sql_list(values) -> str:
+    return ", ".join("'" + v.replace("'", "''") + "'" for v in values)
+
+
+def sql_rule_weight(rules, for_sentence: bool = False) -> str:
+    """The CASE expression of ``functions.weights.rule_weight`` in SQL."""
+    whens = []
+    for r in rules:
+        if r.kind == "plain":
+            w = "entity_count" if for_sentence else "1"
+        elif r.kind == "sentence_type":
+            w = (f"CASE WHEN coalesce(sentence_type IN ({_sql_list(r.boosted_types)}), false) "
+                 f"THEN 15 ELSE 10 END * entity_count")
+        else:
+            excl = ""
+            if r.excluded:
+                excl = (f"WHEN coalesce(entity_name IN ({_sql_list(r.excluded)}), false) "
+                        f"THEN {'entity_count' if for_sentence else '1'} ")
+            w = (f"CASE {excl}WHEN coalesce(regexp_matches(heading, '(?i)^(?:{r.pattern})'), false) "
+                 f"THEN 15 * entity_count ELSE 10 * entity_count END")
+        whens.append(f"WHEN '{r.label}' THEN {w}")
+    return "CAST(CASE entity_label " + " ".join(whens) + " END AS BIGINT)"
+
+
+SQL_INT_WORD = ("CASE WHEN regexp_full_match(tok, '[0-9]+([,.][0-9]{3})*') "
+                "THEN TRY_CAST(regexp_replace(tok, '[,.]', '', 'g') AS BIGINT) END")
+SQL_FLOAT_WORD = ("CASE WHEN regexp_full_match(tok, '[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][+-]?[0-9]+)?') "
+                  "AND isfinite(TRY_CAST(tok AS DOUBLE)) THEN TRY_CAST(tok AS DOUBLE) END")
+
+
+def sql_summary(dets_ctes: str, papers_sql: str, paper_cols: list[str], rules,
+                dummy: dict | None = None) -> str:
+    """SQL of ``plans.paper_summary.summarise``. ``dets_ctes`` defines a CTE
+    ``dets`` with the detection columns; ``papers_sql`` selects ``paper_pk`` and
+    ``paper_cols``."""
+    from .plans.paper_summary import NUMBER_COLUMNS
+    cols = [r.column for r in rules]
+    wide_cols = ", ".join(
+        f"max(CASE WHEN entity_label = '{r.label}' THEN entity_name END) AS {r.column}" for r in rules)
+    ctes = [dets_ctes,
+            f"votes AS (SELECT *, {sql_rule_weight(rules)} AS _w, "
+            f"{sql_rule_weight(rules, True)} AS _ws FROM dets)",
+            "totals AS (SELECT paper_pk, entity_label, entity_name, sum(_w) AS w FROM votes "
+            "WHERE entity_name IS NOT NULL GROUP BY ALL)",
+            "winners AS (SELECT paper_pk, entity_label, entity_name FROM (SELECT *, row_number() "
+            "OVER (PARTITION BY paper_pk, entity_label ORDER BY w DESC, entity_name) AS rn "
+            "FROM totals WHERE w IS NOT NULL) WHERE rn = 1)",
+            f"wide AS (SELECT paper_pk, {wide_cols} FROM winners GROUP BY paper_pk)",
+            f"papers AS ({papers_sql})"]
+    outs, joins = [], []
+    for label, win_col, out_col, _, typ in NUMBER_COLUMNS:
+        if win_col not in cols:
+            continue
+        parse = SQL_INT_WORD if typ == "bigint" else SQL_FLOAT_WORD
+        sql_type = "BIGINT" if typ == "bigint" else "DOUBLE"
+        ctes.append(
+            f"nums_{out_col} AS (SELECT paper_pk, v, sum(_ws) AS w FROM ("
+            f"SELECT paper_pk, _ws, {parse} AS v FROM ("
+            f"SELECT v.paper_pk, v._ws, unnest(string_split_regex(regexp_replace(v.sentence_string, "
+            f"'START_CITE .* END_CITE(?s:.*)', ''), '\\s+')) AS tok FROM votes v "
+            f"JOIN winners w ON v.paper_pk = w.paper_pk AND v.entity_label = w.entity_label "
+            f"AND v.entity_name = w.entity_name WHERE v.entity_label = '{label}')) "
+            f"WHERE v IS NOT NULL AND v <> 0 GROUP BY ALL)")
+        ctes.append(
+            f"mode_{out_col} AS (SELECT paper_pk, v AS {out_col} FROM (SELECT *, row_number() "
+            f"OVER (PARTITION BY paper_pk ORDER BY w DESC, v) AS rn FROM nums_{out_col}) WHERE rn = 1)")
+        outs.append(f"CAST(coalesce({out_col}, 0) AS {sql_type}) AS {out_col}")
+        joins.append(f"LEFT JOIN mode_{out_col} USING (paper_pk)")
+    select = (["p.paper_pk"] + [f"p.{c}" for c in paper_cols]
+              + [f"coalesce({c}, 'MISSING') AS {c}" for c in cols] + outs)
+    sql = ("WITH " + ",\n".join(ctes) + "\nSELECT " + ", ".join(select)
+           + "\nFROM papers p LEFT JOIN wide USING (paper_pk) " + " ".join(joins))
+    if dummy is not None:
+        sql += "\nUNION ALL SELECT " + ", ".join(dummy_values for dummy_values in dummy.values())
+    return sql
+
+
+# ---------------------------------------------------------------------------
+# PL9 on documents: category_pivot (flagship), weighted modes, number modes
+# ---------------------------------------------------------------------------
+
+def _doc_dets(spark: SparkSession, sf: str) -> DataFrame:
+    return (an.detections(load(spark, sf, "documents"))
+            .select((F.col("doc_id") + 1).alias("paper_pk"), "heading",
+                    F.col("sentence").alias("sentence_string"), "sentence_type",
+                    "entity_count", "entity_label", "entity_name"))
+
+
+SQL_DOC_DETS = an.SQL_DETECTIONS + """,
+dets AS (SELECT doc_id + 1 AS paper_pk, heading, sentence AS sentence_string, sentence_type,
+                entity_count, entity_label, entity_name FROM detections)"""
+
+_PAPER_COLS = ["citekey", "article_source_id"]
+
+
+def _summary_dummy():
+    from .functions.weights import CATEGORY_RULES
+    d = {"paper_pk": "CAST(0 AS BIGINT)", "citekey": "'MISSING'",
+         "article_source_id": "CAST(0 AS BIGINT)"}
+    d.update({r.column: "'MISSING'" for r in CATEGORY_RULES})
+    d.update({"no_of_participants": "CAST(0 AS BIGINT)", "metric_value": "CAST(0 AS DOUBLE)"})
+    return d
+
+
+def _category_pivot_sql():
+    from .functions.weights import CATEGORY_RULES
+    papers = ("SELECT doc_id + 1 AS paper_pk, source || '/' || CAST(doc_id AS VARCHAR) AS citekey, "
+              "doc_id AS article_source_id FROM documents")
+    return sql_summary(SQL_DOC_DETS, papers, _PAPER_COLS, CATEGORY_RULES, _summary_dummy())
+
+
+@query("category_pivot", _category_pivot_sql())
+def category_pivot(spark: SparkSession, sf: str) -> DataFrame:
+    """A10, J10, P6, P9, P15, PL9: the wide summary of every document."""
+    from pyspark.sql import types as T
+    from .operators.impute import replace_unknown_member
+    from .plans.paper_summary import summarise
+    docs = load(spark, sf, "documents")
+    papers = docs.select((F.col("doc_id") + 1).alias("paper_pk"),
+                         F.concat_ws("/", "source", F.col("doc_id").cast("string")).alias("citekey"),
+                         F.col("doc_id").alias("article_source_id"))
+    out = summarise(_doc_dets(spark, sf), papers)
+    schema = T.StructType([f for f in out.schema.fields])
+    return replace_unknown_member(out, "paper_pk", schema)
