@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 
 def lookup_key(df: DataFrame, dim: DataFrame, on: dict[str, str] | list[str],
-               key_col: str, out: str | None = None, default: int = 0,
+               key_col: str, out: str | None = None, default: int | None = 0,
                null_safe: bool = False, missing_values: tuple = ()) -> DataFrame:
     """J1 / J2 + P5: left-join ``dim`` on the natural key ``on`` (list of shared
     names or mapping ``{df column: dim column}``) and add ``out`` = the dim's
@@ -31,8 +31,11 @@ def lookup_key(df: DataFrame, dim: DataFrame, on: dict[str, str] | list[str],
     """
     mapping = dict(zip(on, on)) if isinstance(on, list) else dict(on)
     out = out or key_col
-    d = dim.select(*[F.col(v).alias(f"_k{i}") for i, v in enumerate(mapping.values())],
-                   F.col(key_col).alias("_key"))
+    nat = [F.col(v).alias(f"_k{i}") for i, v in enumerate(mapping.values())]
+    # one key per natural key (the smallest), so a lookup never multiplies rows
+    d = (dim.select(*nat, F.col(key_col).alias("_key"))
+         .groupBy(*[f"_k{i}" for i in range(len(mapping))])
+         .agg(F.min("_key").alias("_key")))
     conds = []
     for i, left in enumerate(mapping):
         lc, rc = df[left], d[f"_k{i}"]
@@ -41,8 +44,10 @@ def lookup_key(df: DataFrame, dim: DataFrame, on: dict[str, str] | list[str],
             conds.append(~F.coalesce(lc.isin(*missing_values), F.lit(False)))
     cond = reduce(lambda a, b: a & b, conds)
     joined = df.join(d, cond, "left")
-    return joined.select(df["*"], F.coalesce(F.col("_key").cast("bigint"),
-                                             F.lit(default).cast("bigint")).alias(out))
+    key = F.col("_key").cast("bigint")
+    if default is not None:
+        key = F.coalesce(key, F.lit(default).cast("bigint"))
+    return joined.select(df["*"], key.alias(out))
 
 
 def full_merge(left: DataFrame, right: DataFrame, on: list[str],
