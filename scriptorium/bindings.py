@@ -196,3 +196,7 @@ def category_pivot(spark: SparkSession, sf: str) -> DataFrame:
     out = summarise(_doc_dets(spark, sf), papers)
     schema = T.StructType([f for f in out.schema.fields])
     return replace_unknown_member(out, "paper_pk", schema)
+
+
+# the remaining queries register themselves on import
+from . import queries_modes  # noqa: E402,F401
