@@ -13,8 +13,10 @@ from ..schemas import TABLES
 
 
 def is_first_load(existing: DataFrame | None, key: str) -> bool:
-    """A table gets its key-0 row when it has none yet."""
-    return existing is None or existing.filter(F.col(key) == 0).isEmpty()
+    """A table gets its key-0 row on its first load, i.e. while it is
+    empty (the reference tests ``max(key) == 0``; a table holding only the
+    key-0 row is not empty and does not get a second one)."""
+    return existing is None or existing.select(key).isEmpty()
 
 
 def keyword_delta(keywords: DataFrame, existing: DataFrame | None) -> DataFrame:
