@@ -199,4 +199,4 @@ def category_pivot(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # the remaining queries register themselves on import
-from . import queries_modes, queries_parsing, queries_warehouse  # noqa: E402,F401
+from . import queries_load, queries_modes, queries_parsing, queries_warehouse  # noqa: E402,F401
