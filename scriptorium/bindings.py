@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from .plans import analogue as an
 from .plans.analogue import load
+from .session import materialize
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -63,7 +64,7 @@ FROM delta, mx
 def keyword_dim(spark: SparkSession, sf: str) -> DataFrame:
     from .plans.keyword import keyword_delta
     first = keyword_delta(_keyword_source(load(spark, sf, "benchmark")), None)
-    first = first.checkpoint()  # the "warehouse" after load 1
+    first = materialize(first, "keywords")  # the "warehouse" after load 1
     second = keyword_delta(_keyword_source(load(spark, sf, "documents")), first)
     return first.unionByName(second)
 
@@ -155,9 +156,8 @@ def sql_summary(dets_ctes: str, papers_sql: str, paper_cols: list[str], rules,
 
 def _doc_dets(spark: SparkSession, sf: str) -> DataFrame:
     return (an.detections(load(spark, sf, "documents"))
-            .select((F.col("doc_id") + 1).alias("paper_pk"), "heading",
-                    F.col("sentence").alias("sentence_string"), "sentence_type",
-                    "entity_count", "entity_label", "entity_name"))
+            .select((F.col("doc_id") + 1).alias("paper_pk"), *an.SENTENCE_KEY, "heading",
+                    "sentence_type", "entity_count", "entity_label", "entity_name"))
 
 
 SQL_DOC_DETS = an.SQL_DETECTIONS + """,
@@ -193,7 +193,8 @@ def category_pivot(spark: SparkSession, sf: str) -> DataFrame:
     papers = docs.select((F.col("doc_id") + 1).alias("paper_pk"),
                          F.concat_ws("/", "source", F.col("doc_id").cast("string")).alias("citekey"),
                          F.col("doc_id").alias("article_source_id"))
-    out = summarise(_doc_dets(spark, sf), papers)
+    out = summarise(_doc_dets(spark, sf), papers, sentence_text=an.sentence_text(docs),
+                    sentence_key=an.SENTENCE_KEY)
     schema = T.StructType([f for f in out.schema.fields])
     return replace_unknown_member(out, "paper_pk", schema)
 

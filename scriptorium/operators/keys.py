@@ -5,9 +5,9 @@ task. ``dense_keys`` gives the same numbers with all work distributed:
 
 1. distinct natural keys are range-partitioned and sorted inside each
    partition; each row records its partition id and its position in it;
-2. that layout is checkpointed to the shared checkpoint folder, so the
-   positions stay valid even if an executor is lost and a stage re-runs (range
-   bounds are sampled and could differ on recomputation);
+2. partition id and position are written as a table into the shared
+   checkpoint folder, so they stay valid even if an executor is lost and a
+   stage re-runs (range bounds are sampled and could differ on recomputation);
 3. per-partition row counts (one number per partition) become offsets through
    a window over those few rows, which is broadcast back.
 
@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, materialize
 
 
 def max_key(df: DataFrame | None, key: str) -> int:
@@ -54,8 +54,8 @@ def dense_keys(df: DataFrame, key_cols: list[str], key_name: str,
         .withColumn("_pid", pid)
         # position inside the partition: the id's low 33 bits count rows
         .withColumn("_pos", F.monotonically_increasing_id() - F.shiftleft(pid, 33))
-        .checkpoint(eager=True)
     )
+    ranged = materialize(ranged, "keys")
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     # one row per partition: a bounded, broadcastable table

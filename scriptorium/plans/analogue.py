@@ -22,20 +22,36 @@ HEADINGS = ("Abstract", "Introduction", "Data Collection", "Sample Design",
 MIN_ENTITY_LENGTH = 4
 
 
+# tables whose rows carry whole texts: per-row work on them is heavy
+TEXT_TABLES = {"documents": "doc_id"}
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    if name in TEXT_TABLES:
+        from ..sources.files import spread
+        df = spread(df, TEXT_TABLES[name])
+    return df
 
 
 def _sql_array(values) -> str:
     return "[" + ", ".join("'" + v.replace("'", "''") + "'" for v in values) + "]"
 
 
+def heading_of(line_no) -> "F.Column":
+    heads = F.array(*[F.lit(h) for h in HEADINGS])
+    return F.element_at(heads, (F.col(line_no) % len(HEADINGS) + 1).cast("int"))
+
+
+def sentence_type_of(line_no) -> "F.Column":
+    return F.when(F.col(line_no) == 0, F.lit("ABSTRACT")).otherwise(F.lit("BODY"))
+
+
 def lines(docs: DataFrame) -> DataFrame:
     """Paragraphs: (doc_id, line_no, line, heading)."""
-    heads = F.array(*[F.lit(h) for h in HEADINGS])
     return (docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
             .withColumn("line_no", F.col("line_no").cast("bigint"))
-            .withColumn("heading", F.element_at(heads, (F.col("line_no") % len(HEADINGS) + 1).cast("int"))))
+            .withColumn("heading", heading_of("line_no")))
 
 
 def sentences(docs: DataFrame) -> DataFrame:
@@ -44,26 +60,36 @@ def sentences(docs: DataFrame) -> DataFrame:
             .select("doc_id", "line_no", "heading",
                     F.posexplode(F.split("line", r"\. ")).alias("sent_no", "sentence"))
             .withColumn("sent_no", F.col("sent_no").cast("bigint"))
-            .withColumn("sentence_type",
-                        F.when(F.col("line_no") == 0, F.lit("ABSTRACT")).otherwise(F.lit("BODY"))))
+            .withColumn("sentence_type", sentence_type_of("line_no")))
+
+
+SENTENCE_KEY = ["doc_id", "line_no", "sent_no"]
 
 
 def detections(docs: DataFrame) -> DataFrame:
     """Entity facts: one row per (sentence, entity) with its count (A1).
 
     Entities are the lower-cased letter runs of at least 4 letters; the label
-    is chosen by word length from the 16 labels."""
+    is chosen by word length from the 16 labels. Rows carry the sentence key,
+    not its text: heading and type are functions of the line number, and the
+    text is joined back only where it is read (``sentence_text``)."""
     labels = F.array(*[F.lit(x) for x in LABELS])
     w = (sentences(docs)
-         .select("doc_id", "line_no", "sent_no", "heading", "sentence_type", "sentence",
-                 F.explode(tx.words(F.col("sentence"))).alias("w"))
+         .select(*SENTENCE_KEY, F.explode(tx.words(F.col("sentence"))).alias("w"))
          .withColumn("entity_name", F.lower("w"))
          .filter(F.length("entity_name") >= MIN_ENTITY_LENGTH))
-    return (w.groupBy("doc_id", "line_no", "sent_no", "heading", "sentence_type",
-                      "sentence", "entity_name")
+    return (w.groupBy(*SENTENCE_KEY, "entity_name")
             .agg(F.count(F.lit(1)).alias("entity_count"))
-            .withColumn("entity_label",
-                        F.element_at(labels, (F.length("entity_name") % len(LABELS) + 1).cast("int"))))
+            .withColumns({
+                "heading": heading_of("line_no"),
+                "sentence_type": sentence_type_of("line_no"),
+                "entity_label": F.element_at(labels, (F.length("entity_name") % len(LABELS) + 1)
+                                             .cast("int"))}))
+
+
+def sentence_text(docs: DataFrame) -> DataFrame:
+    """(doc_id, line_no, sent_no, sentence_string)."""
+    return sentences(docs).select(*SENTENCE_KEY, F.col("sentence").alias("sentence_string"))
 
 
 # --- the same derivations as SQL (DuckDB dialect, run by the oracle) ---------

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bindings import query
+from .session import materialize
 from .functions import numbers as nu
 from .functions import text as tx
 from .plans.analogue import _sql_array, load
@@ -382,7 +383,7 @@ SELECT CAST(m + row_number() OVER (ORDER BY {", ".join(NAME)}) AS BIGINT), {allc
 def author_merge_dim(spark: SparkSession, sf: str) -> DataFrame:
     from .plans.author import author_delta, conform_authors, merge_authors, reference_authors
     a = conform_authors(_author_rows(spark, sf))
-    first = author_delta(a, None).checkpoint()
+    first = materialize(author_delta(a, None))
     merged = merge_authors(a, reference_authors(_supplier_refs(spark, sf)))
     second = author_delta(merged, first)
     cols = ["author_pk"] + NAME + ATTRS
@@ -453,7 +454,7 @@ SELECT CAST(m + row_number() OVER (ORDER BY {cols}) AS BIGINT), {cols} FROM delt
 def journal_dim(spark: SparkSession, sf: str) -> DataFrame:
     from .plans.journal import JOURNAL, journal_delta, journal_source
     papers, refs = _journal_sources(spark, sf)
-    first = journal_delta(journal_source(papers.filter(F.lit(False)), refs), None).checkpoint()
+    first = materialize(journal_delta(journal_source(papers.filter(F.lit(False)), refs), None))
     second = journal_delta(journal_source(papers, refs), first)
     cols = ["journal_pk"] + JOURNAL
     return first.select(*cols).unionByName(second.select(*cols))

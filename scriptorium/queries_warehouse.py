@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .bindings import query
+from .session import materialize
 from .operators import delta as dl
 from .operators.closure import closure as closure_rows
 from .operators.closure import closure_keys as closure_keys_op
@@ -249,7 +250,7 @@ def paragraph_dim(spark: SparkSession, sf: str) -> DataFrame:
     from .plans.text_units import PARAGRAPH, paragraph_delta, paragraph_rows
     src, papers = _paragraph_source(spark, sf)
     rows = paragraph_rows(src, papers)
-    first = paragraph_delta(rows.filter(F.col("paragraph_type") == "en"), None).checkpoint()
+    first = materialize(paragraph_delta(rows.filter(F.col("paragraph_type") == "en"), None))
     second = paragraph_delta(rows, first)
     cols = ["paragraph_pk"] + PARAGRAPH
     return first.select(*cols).unionByName(second.select(*cols))
@@ -390,7 +391,7 @@ def entity_dim(spark: SparkSession, sf: str) -> DataFrame:
     from .plans.text_units import entity_delta, entity_source
     src = entity_source(_entities(spark, sf))
     first, _ = entity_delta(src.filter(F.col("entity_label") == "ECONOMY"), None)
-    first = first.checkpoint()
+    first = materialize(first)
     second, _ = entity_delta(src, first)
     cols = ["entity_pk", "entity_label", "entity_name"]
     return first.select(*cols).unionByName(second.select(*cols))
@@ -614,7 +615,7 @@ def idempotent_rerun(spark: SparkSession, sf: str) -> DataFrame:
         delta = dl.full_row_delta(o, existing, cols)
         keyed = dl.append_keys(delta, existing, "status_pk", cols)
         return with_unknown_member(keyed, schema, existing is None)
-    first = load_once(None).checkpoint()
+    first = materialize(load_once(None))
     second = load_once(first)
     return (first.agg(F.count(F.lit(1)).alias("rows_appended")).withColumn("load_no", F.lit(1))
             .unionByName(second.agg(F.count(F.lit(1)).alias("rows_appended"))

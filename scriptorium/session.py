@@ -68,3 +68,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh table path inside the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/tables/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df, name: str = "stage"):
+    """Cut lineage by writing a Parquet table into the shared checkpoint folder
+    and reading it back. Columnar and compressed, so cheaper to write and to
+    re-read than an RDD checkpoint; it survives executor loss the same way."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

@@ -45,6 +45,17 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return normalise_missing(df)
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Scan-parallelism guard: a scan with fewer splits than the cluster has
+    cores (one large row group, a gzip file) would run its per-row work in a
+    few tasks; spread such a scan by hash of ``key`` (deterministic on retry).
+    A large input already has enough splits and is left as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores, key)
+    return df
+
+
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
     """A warehouse table; ``None`` when it has not been created yet."""
     try:
