@@ -265,68 +265,72 @@ def author_conform(spark: SparkSession, sf: str) -> DataFrame:
 # Reference author strings per order
 # ---------------------------------------------------------------------------
 
-AUTHOR_FORMS = "{w2}, {w1} | {w2} {w1} | {w2}, Van, {w1} | {w2}, {w1}, Extra Name | ab"
+def _author_token(k, w1, w2):
+    """One author written in one of five forms (k = 0..4)."""
+    return (F.when(k == 0, F.concat(w2, F.lit(", "), w1))
+            .when(k == 1, F.concat(w2, F.lit(" "), w1))
+            .when(k == 2, F.concat(w2, F.lit(", Van, "), w1))
+            .when(k == 3, F.concat(w2, F.lit(", "), w1, F.lit(", Extra Name")))
+            .otherwise(F.lit("ab")))
 
 
 def _author_strings(spark: SparkSession, sf: str) -> DataFrame:
+    """One reference per line item with two authors in varying forms."""
     li = load(spark, sf, "lineitem").join(
         load(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey"))
     w1 = F.split_part("p_name", F.lit(" "), F.lit(1))
     w2 = F.split_part("p_name", F.lit(" "), F.lit(2))
-    k = F.col("l_linenumber") % 5
-    author = (F.when(k == 0, F.concat(w2, F.lit(", "), w1))
-              .when(k == 1, F.concat(w2, F.lit(" "), w1))
-              .when(k == 2, F.concat(w2, F.lit(", Van, "), w1))
-              .when(k == 3, F.concat(w2, F.lit(", "), w1, F.lit(", Extra Name")))
-              .otherwise(F.lit("ab")))
-    per_order = li.groupBy("l_orderkey").agg(
-        F.array_sort(F.collect_list(F.struct("l_linenumber", author.alias("a")))).alias("xs"))
-    return per_order.select("l_orderkey", F.array_join(
-        F.transform("xs", lambda x: x["a"]), "; ").alias("authors"))
-
-
-SQL_AUTHOR_STRINGS = """SELECT l_orderkey, string_agg(author, '; ' ORDER BY l_linenumber, author) AS authors
-FROM (SELECT l_orderkey, l_linenumber,
-        CASE l_linenumber % 5
-          WHEN 0 THEN split_part(p_name, ' ', 2) || ', ' || split_part(p_name, ' ', 1)
-          WHEN 1 THEN split_part(p_name, ' ', 2) || ' ' || split_part(p_name, ' ', 1)
-          WHEN 2 THEN split_part(p_name, ' ', 2) || ', Van, ' || split_part(p_name, ' ', 1)
-          WHEN 3 THEN split_part(p_name, ' ', 2) || ', ' || split_part(p_name, ' ', 1) || ', Extra Name'
-          ELSE 'ab' END AS author
-      FROM lineitem JOIN part ON l_partkey = p_partkey)
-GROUP BY l_orderkey"""
+    first = _author_token(F.col("l_linenumber") % 5, w1, w2)
+    second = _author_token((F.col("l_linenumber") + 2) % 5, w2, w1)
+    return li.select("l_orderkey", "l_linenumber",
+                     F.concat(first, F.lit("; "), second).alias("authors"))
+
+
+def _sql_author_token(k: str, a: str, b: str) -> str:
+    return (f"CASE {k} WHEN 0 THEN {b} || ', ' || {a} WHEN 1 THEN {b} || ' ' || {a} "
+            f"WHEN 2 THEN {b} || ', Van, ' || {a} WHEN 3 THEN {b} || ', ' || {a} || ', Extra Name' "
+            f"ELSE 'ab' END")
+
+
+_W1, _W2 = "split_part(p_name, ' ', 1)", "split_part(p_name, ' ', 2)"
+SQL_AUTHOR_STRINGS = f"""SELECT l_orderkey, l_linenumber,
+  {_sql_author_token('l_linenumber % 5', _W1, _W2)} || '; ' || {_sql_author_token('(l_linenumber + 2) % 5', _W2, _W1)} AS authors
+FROM lineitem JOIN part ON l_partkey = p_partkey"""
 
 _WORDS = "flatten(list_transform(l, lambda x: string_split(x, ' ')))"
 _PAIRS = (f"CASE WHEN len({_WORDS}) // 2 >= 1 THEN list_transform(range(len({_WORDS}) // 2), "
           f"lambda i: {_WORDS}[2 * i + 1:2 * i + 2]) ELSE [] END")
 
 SQL_AUTHOR_PAIRS = f"""
-strings AS ({SQL_AUTHOR_STRINGS}),
-authors AS (SELECT l_orderkey, unnest(range(len(parts))) AS apos, unnest(parts) AS author
-            FROM (SELECT l_orderkey, string_split(authors, '; ') AS parts FROM strings)),
-lists AS (SELECT l_orderkey, apos, string_split(author, ', ') AS l0 FROM authors),
-novan AS (SELECT l_orderkey, apos,
+strings AS (SELECT row_number() OVER () AS rid, * FROM ({SQL_AUTHOR_STRINGS})),
+authors AS (SELECT rid, l_orderkey, l_linenumber, unnest(range(len(parts))) AS apos, unnest(parts) AS author
+            FROM (SELECT *, string_split(authors, '; ') AS parts FROM strings)),
+lists AS (SELECT rid, l_orderkey, l_linenumber, apos, string_split(author, ', ') AS l0 FROM authors),
+novan AS (SELECT rid, l_orderkey, l_linenumber, apos,
             CASE WHEN len(l0) >= 3 AND list_position(l0, 'Van') IS NOT NULL
                  THEN l0[1:list_position(l0, 'Van') - 1] || l0[list_position(l0, 'Van') + 1:]
                  ELSE l0 END AS l FROM lists),
-parsed AS (SELECT l_orderkey, apos,
+parsed AS (SELECT rid, l_orderkey, l_linenumber, apos,
              CASE WHEN len(l) = 2 THEN [l]
                   WHEN len(l) > 2 THEN {_PAIRS}
                   WHEN len(l) = 1 AND length(l[1]) > 2 THEN {_PAIRS}
                   ELSE [] END AS ps FROM novan),
-per_order AS (SELECT l_orderkey, flatten(list(ps ORDER BY apos)) AS ps FROM parsed GROUP BY l_orderkey),
-pairs AS (SELECT l_orderkey, unnest(range(len(ps))) AS author_position, unnest(ps) AS p FROM per_order)"""
+per_row AS (SELECT rid, l_orderkey, l_linenumber, flatten(list(ps ORDER BY apos)) AS ps
+            FROM parsed GROUP BY rid, l_orderkey, l_linenumber),
+pairs AS (SELECT l_orderkey, l_linenumber, unnest(range(len(ps))) AS author_position, unnest(ps) AS p
+          FROM per_row)"""
 
 
 @query("author_string_parse", "WITH " + SQL_AUTHOR_PAIRS.strip() + """
-SELECT l_orderkey, CAST(author_position AS INTEGER) AS author_position, p[1] AS surname, p[2] AS firstname
+SELECT l_orderkey, l_linenumber, CAST(author_position AS INTEGER) AS author_position,
+       p[1] AS surname, p[2] AS firstname
 FROM pairs
 """)
 def author_string_parse(spark: SparkSession, sf: str) -> DataFrame:
     s = _author_strings(spark, sf)
-    return s.select("l_orderkey", F.posexplode(tx.parse_author_string("authors"))
+    return s.select("l_orderkey", "l_linenumber", F.posexplode(tx.parse_author_string("authors"))
                     .alias("author_position", "p")).select(
-        "l_orderkey", "author_position", F.get("p", 0).alias("surname"),
+        "l_orderkey", "l_linenumber", "author_position", F.get("p", 0).alias("surname"),
         F.get("p", 1).alias("firstname"))
 
 
