@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+Every process step of the reference is one batch run over source files,
+repeated when new files arrive ("execute again and it will append the
+deltas"); it has no windows, watermarks, state or late data. The batch plans
+in ``scriptorium.plans`` are incremental already (anti-join deltas, keys above
+the current maximum, idempotent re-runs), so nothing is built here.
+"""
