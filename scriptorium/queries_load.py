@@ -99,18 +99,18 @@ def full_load(spark: SparkSession, sf: str) -> DataFrame:
     from .plans import full_load as fl
     from .schemas import FOREIGN_KEYS, PRIMARY_KEYS
     tables = fl.run(derived_sources(spark, sf))
-    rows = []
+    metrics = ["rows_loaded", "pk_violations", "fk_orphans"]
+    parts = []
     for name, df in tables.items():
-        n = df.agg(F.count(F.lit(1)).alias("rows_loaded"))
-        bad = pk_violations(df, PRIMARY_KEYS[name]).agg(F.count(F.lit(1)).alias("pk_violations"))
-        orphan_parts = [fk_orphans(df, cols, tables[parent], pcols).select(F.lit(1).alias("o"))
-                        for child, cols, parent, pcols in FOREIGN_KEYS
-                        if child == name and parent in tables]
-        if orphan_parts:
-            orphans = reduce(DataFrame.unionByName, orphan_parts).agg(
-                F.count(F.lit(1)).alias("fk_orphans"))
-        else:
-            orphans = n.select(F.lit(0).cast("bigint").alias("fk_orphans"))
-        rows.append(n.join(bad, how="inner", on=F.lit(True)).join(orphans, how="inner", on=F.lit(True))
-                    .select(F.lit(name).alias("table_name"), "rows_loaded", "pk_violations", "fk_orphans"))
-    return reduce(DataFrame.unionByName, rows)
+        def measure(frame: DataFrame, metric: str) -> DataFrame:
+            return frame.agg(F.count(F.lit(1)).alias("value")).select(
+                F.lit(name).alias("table_name"), F.lit(metric).alias("metric"), "value")
+        parts.append(measure(df, "rows_loaded"))
+        parts.append(measure(pk_violations(df, PRIMARY_KEYS[name]), "pk_violations"))
+        for child, cols, parent, pcols in FOREIGN_KEYS:
+            if child == name and parent in tables:
+                parts.append(measure(fk_orphans(df, cols, tables[parent], pcols), "fk_orphans"))
+    # long (table, metric, value) rows summed per table: no join between aggregates
+    long = reduce(DataFrame.unionByName, parts)
+    wide = long.groupBy("table_name").pivot("metric", metrics).agg(F.sum("value"))
+    return wide.na.fill(0, subset=metrics).select("table_name", *metrics)
