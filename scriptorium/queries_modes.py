@@ -250,6 +250,6 @@ def overwrite_rebuild(spark: SparkSession, sf: str) -> DataFrame:
     def summary(df):
         return df.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_events"),
                                          F.max("event_id").alias("last_event_id"))
-    overwrite(summary(ev.filter(F.col("ts") < F.lit("2024-01-16").cast("timestamp"))), path, schema)
+    overwrite(summary(ev.filter(F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz"))), path, schema)
     overwrite(summary(ev), path, schema)
     return spark.read.parquet(path)

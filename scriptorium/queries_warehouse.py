@@ -501,7 +501,7 @@ def _fact_delta(spark: SparkSession, sf: str):
 
     def counts(df):
         return df.groupBy("user_id", "event_type").agg(F.count(F.lit(1)).alias("entity_count"))
-    wh = counts(ev.filter(F.col("ts") < F.lit("2024-01-03 00:00:00").cast("timestamp")))
+    wh = counts(ev.filter(F.col("ts") < F.lit("2024-01-03 00:00:00").cast("timestamp_ntz")))
     return dl.fact_delta(counts(ev), wh, ["user_id", "event_type"], "entity_count")
 
 
@@ -548,6 +548,18 @@ def symmetric_difference(spark: SparkSession, sf: str) -> DataFrame:
     return dl.symmetric_difference(a, b)
 
 
+@query("union_missing_columns", """
+SELECT DISTINCT c_nationkey, c_mktsegment FROM customer
+UNION
+SELECT DISTINCT s_nationkey AS c_nationkey, CAST(NULL AS VARCHAR) AS c_mktsegment FROM supplier
+""")
+def union_missing_columns(spark: SparkSession, sf: str) -> DataFrame:
+    """U1 + U2: union by name where one side lacks a column (filled with null)."""
+    c = load(spark, sf, "customer").select("c_nationkey", "c_mktsegment")
+    s = load(spark, sf, "supplier").select(F.col("s_nationkey").alias("c_nationkey"))
+    return c.unionByName(s, allowMissingColumns=True).distinct()
+
+
 @query("full_row_delta", """
 WITH src AS (SELECT c_mktsegment, c_nationkey,
                     CASE WHEN c_acctbal < 0 THEN NULL ELSE CAST(c_nationkey % 5 AS INTEGER) END AS tier,
