@@ -47,11 +47,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     (or set with ``setCheckpointDir``). Only a local-mode session without one
     gets a fresh folder under the system temp dir, as in tests.
     """
-    sc = spark.sparkContext
+    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a Spark Connect session has no SparkContext
+        sc = None
+    if sc is None:
+        if conf_dir:
+            return conf_dir
+        local_dir = tempfile.mkdtemp(prefix="run-", dir=os.environ.get("TMPDIR", "/tmp"))
+        spark.conf.set("spark.checkpoint.dir", local_dir)
+        return local_dir
     current = sc.getCheckpointDir()
     if current:
         return current
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return sc.getCheckpointDir() or conf_dir

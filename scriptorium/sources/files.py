@@ -50,8 +50,12 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     cores (one large row group, a gzip file) would run its per-row work in a
     few tasks; spread such a scan by hash of ``key`` (deterministic on retry).
     A large input already has enough splits and is left as it is."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (Spark Connect): leave the scan as it is
+        return df
+    if splits < cores:
         return df.repartition(cores, key)
     return df
 
