@@ -18,7 +18,7 @@ maximum" are part of its contract.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir, materialize
@@ -86,10 +86,3 @@ def group_numbers(df: DataFrame, key_cols: list[str], name: str,
         valid = valid.filter(F.col(c).isNotNull())
     keys = dense_keys(valid, key_cols, name, offset - 1, num_partitions)
     return valid.join(keys, key_cols, "inner")
-
-
-def row_number_key(order_cols: list[str | Column], start_after: int = 0) -> Column:
-    """Reference form of W2 for tiny tables: a single-partition window.
-    Prefer ``dense_keys``; this exists to compare against it in tests."""
-    w = Window.orderBy(*order_cols)
-    return (F.row_number().over(w) + F.lit(start_after)).cast("long")

@@ -91,9 +91,12 @@ def check_batch(batch: DataFrame, table: str, pk: list[str],
     """Raise ``IntegrityError`` if the batch breaks the primary key (inside
     itself or against ``existing``), a not-null rule on the key, or a foreign key."""
     keys = batch.select(*pk)
-    if existing is not None:
-        keys = keys.unionByName(existing.select(*pk))
     bad = pk_violations(keys, pk).limit(5).collect()
+    if not bad and existing is not None:
+        # batch keys already in the table: a semi join lets the (small) delta
+        # be broadcast while the large table streams, instead of re-grouping
+        # every existing key on each append
+        bad = keys.join(existing.select(*pk), pk, "left_semi").limit(5).collect()
     if bad:
         raise IntegrityError(table, "primary key", [r.asDict() for r in bad])
     for fk_cols, parent, parent_cols in fks:
