@@ -64,6 +64,19 @@ def full_merge(left: DataFrame, right: DataFrame, on: list[str],
     cond = reduce(lambda a, b: a & b, [
         (l2[f"_l_{c}"].eqNullSafe(r2[f"_r_{c}"]) if null_safe
          else l2[f"_l_{c}"] == r2[f"_r_{c}"]) for c in on])
+    if not null_safe:
+        # A null key never matches, yet every null-key row would hash to the
+        # same shuffle partition, and AQE does not split skew in a full outer
+        # join. A per-row salt (a hash of the row, deterministic on retry)
+        # joins the equi-keys: null-key rows spread out, matching rows keep
+        # salt 0 on both sides.
+        def salted(df, prefix):
+            is_null = reduce(lambda a, b: a | b, [F.col(f"{prefix}{c}").isNull() for c in on])
+            return df.withColumn(f"{prefix}salt", F.when(is_null, F.xxhash64(*df.columns))
+                                 .otherwise(F.lit(0).cast("bigint")))
+        l2, r2 = salted(l2, "_l_"), salted(r2, "_r_")
+        cond = reduce(lambda a, b: a & b, [
+            l2[f"_l_{c}"] == r2[f"_r_{c}"] for c in on]) & (l2["_l_salt"] == r2["_r_salt"])
     j = l2.join(r2, cond, "full")
     keys = [F.coalesce(F.col(f"_l_{c}"), F.col(f"_r_{c}")).alias(c) for c in on]
     rest = [c for c in j.columns if not c.startswith("_l_") and not c.startswith("_r_")]

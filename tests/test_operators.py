@@ -117,3 +117,22 @@ def test_lookup_missing_gets_default_and_no_fanout(spark):
     dim = spark.createDataFrame([("a", 5), ("a", 3)], "n string, pk long")
     got = sorted((r.n or "", r.pk) for r in lookup_key(df, dim, ["n"], "pk").collect())
     assert got == [("", 0), ("a", 3), ("z", 0)]
+
+
+def test_full_merge_null_keys_never_match_and_are_kept(spark):
+    from scriptorium.operators.lookup import full_merge
+    a = spark.createDataFrame([("k1", 1), (None, 2), (None, 3)], "k string, v int")
+    b = spark.createDataFrame([("k1", 10), (None, 20), ("k2", 30)], "k string, v int")
+    got = sorted((r.k or "", r.v_art or -1, r.v_ref or -1)
+                 for r in full_merge(a, b, ["k"], null_safe=False).collect())
+    assert got == [("", -1, 20), ("", 2, -1), ("", 3, -1), ("k1", 1, 10), ("k2", -1, 30)]
+
+
+def test_weighted_mode_with_a_hot_group(spark):
+    """One group holds a third of all rows: same answer as a plain count."""
+    from scriptorium.operators.mode import weighted_mode
+    rows = [(0, f"e{i % 50}", 1) for i in range(3000)] + [(0, "hot", 1)] * 70 + \
+           [(g, f"e{(g + i) % 7}", 1) for g in range(1, 200) for i in range(30)]
+    df = spark.createDataFrame(rows, "g int, v string, w int")
+    got = {r.g: r.v for r in weighted_mode(df, ["g"], "v", "w").collect()}
+    assert got[0] == "hot" and len(got) == 200
