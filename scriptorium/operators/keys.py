@@ -32,12 +32,6 @@ def max_key(df: DataFrame | None, key: str) -> int:
     return int(row["m"]) if row is not None and row["m"] is not None else 0
 
 
-def _partitions(df: DataFrame, num_partitions: int | None) -> int:
-    if num_partitions:
-        return num_partitions
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
 def dense_keys(df: DataFrame, key_cols: list[str], key_name: str,
                start_after: int = 0, num_partitions: int | None = None) -> DataFrame:
     """Give each distinct ``key_cols`` tuple of ``df`` a consecutive key
@@ -45,12 +39,16 @@ def dense_keys(df: DataFrame, key_cols: list[str], key_name: str,
     first). Returns ``key_cols + [key_name]``, one row per distinct tuple.
     """
     ensure_checkpoint_dir(df.sparkSession)
-    n = _partitions(df, num_partitions)
     pid = F.spark_partition_id().cast("long")
+    order = [F.col(c).asc_nulls_first() for c in key_cols]
+    distinct = df.select(*key_cols).distinct()
+    # without an explicit count AQE may merge adjacent ranges of a small input
+    # (merged partitions stay contiguous in key order, so positions hold)
+    ranged_in = (distinct.repartitionByRange(num_partitions, *order) if num_partitions
+                 else distinct.repartitionByRange(*order))
     ranged = (
-        df.select(*key_cols).distinct()
-        .repartitionByRange(n, *[F.col(c).asc_nulls_first() for c in key_cols])
-        .sortWithinPartitions(*[F.col(c).asc_nulls_first() for c in key_cols])
+        ranged_in
+        .sortWithinPartitions(*order)
         .withColumn("_pid", pid)
         # position inside the partition: the id's low 33 bits count rows
         .withColumn("_pos", F.monotonically_increasing_id() - F.shiftleft(pid, 33))

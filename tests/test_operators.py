@@ -136,3 +136,19 @@ def test_weighted_mode_with_a_hot_group(spark):
     df = spark.createDataFrame(rows, "g int, v string, w int")
     got = {r.g: r.v for r in weighted_mode(df, ["g"], "v", "w").collect()}
     assert got[0] == "hot" and len(got) == 200
+
+
+def test_dense_keys_with_adaptive_partitions(spark):
+    """No explicit partition count: AQE may merge ranges; keys stay exact."""
+    from scriptorium.operators.keys import dense_keys
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        df = spark.read.parquet(f"{SF_ORACLE}/lineitem.parquet").select(
+            (F.col("l_partkey") % 997).alias("x"), F.col("l_returnflag").alias("y"))
+        keys = dense_keys(df, ["x", "y"], "k")
+        ref = df.distinct().withColumn("r", F.row_number().over(Window.orderBy("x", "y")))
+        j = keys.join(ref, ["x", "y"])
+        assert j.count() == ref.count() == keys.count()
+        assert j.filter(F.col("k") != F.col("r")).count() == 0
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
