@@ -115,12 +115,25 @@ def edited(text: str, following: str) -> str:
 def with_next(docs: DataFrame, ranges: int) -> DataFrame:
     """(part, ahead, doc_id, text): rows in ranges of doc_id; ahead rows belong to the next range
     and are only there to be looked at."""
-    ids = docs.where("doc_id IS NOT NULL")
-    cuts = ids.agg(F.percentile_approx("doc_id", [k / ranges for k in range(1, ranges)], 10 * ranges)).first()[0] or [] \
-        if ranges > 1 else []
-    first = docs.agg(F.min("doc_id"), F.max("doc_id"), F.count(F.when(F.col("doc_id").isNull(), 1))).first()
-    lowest = None if first[2] else first[0]
-    starts = sorted({int(c) for c in cuts if c is not None} - ({first[0]} if not first[2] else set()))
+    ids = docs.where("doc_id IS NOT NULL").select("doc_id")
+    cuts = np.unique(ids.agg(F.percentile_approx("doc_id", [k / ranges for k in range(1, ranges)], 10 * ranges))
+                     .first()[0] or []).astype(np.int64) if ranges > 1 else np.zeros(0, np.int64)
+
+    def lowest_of_range(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        low: dict[int, int] = {}
+        for b in batches:
+            x = np.sort(b.column("doc_id").to_numpy())
+            part, at = np.unique(np.searchsorted(cuts, x, side="right"), return_index=True)
+            for p, v in zip(part.tolist(), x[at].tolist()):
+                low[p] = min(low.get(p, v), v)
+        yield pa.RecordBatch.from_pydict({"part": pa.array(low.keys(), pa.int32()), "low": pa.array(low.values(), pa.int64())})
+
+    # Quantiles are rounded; the ranges start at the lowest id that each really has.
+    starts = sorted(r["low"] for r in ids.mapInArrow(lowest_of_range, "part int, low long")
+                    .groupBy("part").agg(F.min("low").alias("low")).collect())
+    nameless = not docs.where("doc_id IS NULL").isEmpty()
+    lowest = None if nameless or not starts else starts[0]
+    starts = starts if nameless else starts[1:]
     schema = pa.schema([("part", pa.int32()), ("ahead", pa.int32()), ("doc_id", pa.int64()), ("text", pa.string())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

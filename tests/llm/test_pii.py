@@ -1,0 +1,69 @@
+import hashlib
+import random
+import re
+
+from scriptorium.llm import pii as op
+from tests.llm.fixtures import edge_docs, edge_rows, empty_docs
+
+CONTRACT = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def confirmed(kind, s):
+    digits = [int(c) for c in s if c in "0123456789"]
+    if kind == "ip":
+        return all(int(p) <= 255 for p in s.split("."))
+    if kind == "card":
+        doubled = [d if k % 2 == 0 else sum(divmod(2 * d, 10)) for k, d in enumerate(reversed(digits))]
+        return 16 <= len(digits) <= 19 and sum(doubled) % 10 == 0
+    return kind == "email" or 8 <= len(digits) <= 15
+
+
+def brute(text):
+    return [(k, m.start(), m.end()) for k, p in CONTRACT.items() for m in re.finditer(p, text or "")
+            if confirmed(k, m.group())]
+
+
+def test_base_spans_equal_the_patterns():
+    r = random.Random(2)
+    parts = ["4111 1111 1111 1111", "4111-1111-1111-1112", "a.b@c.de", "x@y", "@", "+1 (203) 555-0188", "+", "1.2.3.4",
+             "256.1.1.1", "1.2.3", ".5.6.7.8", "é", " ", "-", "12", "007", "q@w.e@r.t", "%", "++1234567890", "(", ")", "0"]
+    for _ in range(20_000):
+        text = "".join(r.choice(parts) for _ in range(r.randint(1, 8)))
+        assert op.base_spans(text) == brute(text), repr(text)
+
+
+def test_added_kinds_need_checksum_or_context():
+    iban = "DE89 3704 0044 0532 0130 00"
+    assert op.mod97(iban) and not op.mod97(iban.replace("00", "01"))
+    assert ("iban", 5, 5 + len(iban)) in op.find("from " + iban + " on")[1]
+    assert op.find("call me: 203-555-0188.")[1] == [("local_phone", 9, 21)]
+    assert op.find("part no 203-555-0188.")[1] == []
+    assert op.find("SSN 078-05-1120")[1] == [("national_id", 4, 15)]
+    assert op.find("row 078-05-1120")[1] == []
+
+
+def test_redact():
+    assert op.redact("to é a@b.co, 1.2.3.4!") == "to é [EMAIL], [IP]!"
+    assert op.redact(None) is None and op.redact("clean") == "clean"
+
+
+def test_long_runs_are_linear():
+    import time
+    t = time.time()
+    for text in ("1" * 300_000, "a" * 300_000, "a@" * 100_000, "1." * 150_000, "+1" + "(" * 300_000, "1 " * 150_000,
+                 "A1" * 150_000, "1-" * 100_000):
+        op.find(text)
+    assert time.time() - t < 20
+
+
+def test_edge_rows_and_empty_table(spark):
+    got = sorted(((r["doc_id"], r["base_sha256"]) for r in op.op10(spark, edge_docs(spark)).collect()), key=str)
+    want = [(i, hashlib.sha256(op.joined(brute(t)).encode()).hexdigest()) for i, t, *_ in edge_rows()]
+    assert got == sorted(want, key=str)
+    assert op.op10(spark, empty_docs(spark)).count() == 0
+    assert op.redacted(edge_docs(spark)).columns == edge_docs(spark).columns
