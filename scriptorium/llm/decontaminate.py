@@ -167,8 +167,8 @@ def automata(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "tex
 
 def _scan_block(docs: DataFrame, automaton: SuffixAutomaton) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(automaton)
-    schema = T.StructType([*docs.schema.fields, T.StructField("spans", T.ArrayType(T.IntegerType())),
-                           T.StructField("items", T.ArrayType(T.StringType()))])
+    schema = T.StructType([*docs.schema.fields, T.StructField("_hit_spans", T.ArrayType(T.IntegerType())),
+                           T.StructField("_hit_items", T.ArrayType(T.StringType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fst = shared.value
@@ -180,24 +180,24 @@ def _scan_block(docs: DataFrame, automaton: SuffixAutomaton) -> DataFrame:
                 items.append([fst.items[k] for k in sorted(found)])
             yield pa.RecordBatch.from_arrays(
                 [*b.columns, pa.array(spans, pa.list_(pa.int32())), pa.array(items, pa.list_(pa.string()))],
-                names=[*b.schema.names, "spans", "items"])
+                names=[*b.schema.names, "_hit_spans", "_hit_items"])
 
     return docs.mapInArrow(run, schema)
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
             block_words: int = BLOCK_WORDS) -> DataFrame:
-    """docs (with a ``text`` column) and, for each, spans array<int> (start, end, start, end, ...
-    in words, merged) and items array<string>. With several blocks a document's text rides
+    """docs (with a ``text`` column) and, for each, _hit_spans array<int> (start, end, start, end, ...
+    in words, merged) and _hit_items array<string>. With several blocks a document's text rides
     along once and the blocks' findings are appended to it, so nothing is shuffled."""
     out = None
     for automaton in automata(benchmark, window=window, block_words=block_words):
-        part = _scan_block(docs if out is None else out.withColumnsRenamed({"spans": "_s", "items": "_i"}), automaton)
+        part = _scan_block(docs if out is None else out.withColumnsRenamed({"_hit_spans": "_s", "_hit_items": "_i"}), automaton)
         out = part if out is None else part.select(
             *[F.col(c) for c in docs.columns],
-            F.concat("_s", "spans").alias("spans"), F.array_distinct(F.concat("_i", "items")).alias("items"))
+            F.concat("_s", "_hit_spans").alias("_hit_spans"), F.array_distinct(F.concat("_i", "_hit_items")).alias("_hit_items"))
     if out is None:
-        out = docs.withColumns({"spans": F.array().cast("array<int>"), "items": F.array().cast("array<string>")})
+        out = docs.withColumns({"_hit_spans": F.array().cast("array<int>"), "_hit_items": F.array().cast("array<string>")})
     return out
 
 
@@ -219,8 +219,8 @@ def report(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             n_words = [len(words(t)) for t in b.column("text").to_pylist()]
-            n_hit = [int(hit_mask(n, s).sum()) if s else 0 for n, s in zip(n_words, b.column("spans").to_pylist())]
-            items = [sorted(i) for i in b.column("items").to_pylist()]
+            n_hit = [int(hit_mask(n, s).sum()) if s else 0 for n, s in zip(n_words, b.column("_hit_spans").to_pylist())]
+            items = [sorted(i) for i in b.column("_hit_items").to_pylist()]
             yield batch(out_schema, {
                 "doc_id": b.column("doc_id"), "n_words": n_words, "n_hit": n_hit,
                 "n_items": [len(i) for i in items],
@@ -241,7 +241,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_cover
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             kept, new = [], []
-            for i, (text, spans) in enumerate(zip(b.column("text").to_pylist(), b.column("spans").to_pylist())):
+            for i, (text, spans) in enumerate(zip(b.column("text").to_pylist(), b.column("_hit_spans").to_pylist())):
                 if not spans:
                     kept.append(i)
                     new.append(text)
@@ -259,7 +259,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_cover
                 out.append(raw[done:])
                 kept.append(i)
                 new.append(b"".join(out).decode())
-            rows = b.take(pa.array(kept, pa.int64())).drop_columns(["spans", "items"])
+            rows = b.take(pa.array(kept, pa.int64())).drop_columns(["_hit_spans", "_hit_items"])
             values = {"text": new}
             if "n_chars" in rows.schema.names:
                 was = rows.column("n_chars").to_pylist()
@@ -267,7 +267,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_cover
                 values["n_chars"] = [w if t is None or t == o else len(t) for w, t, o in zip(was, new, old)]
             yield replaced(rows, values)
 
-    inside = docs.drop("spans", "items")
+    inside = docs.drop("_hit_spans", "_hit_items")
     return matches(inside, benchmark, window, block_words).mapInArrow(run, inside.schema)
 
 
