@@ -42,13 +42,14 @@ MODEL_BYTES = 64 << 20  # the largest model that is broadcast
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, UNUSED, BYTE = 1, 2, 3, 5, 6
 UNIGRAM, BPE = 1, 2
-START = ""  # the grammar's start state
+START = -1  # the grammar's start state, where no piece came before
+_NONE: dict[int, bool] = {}
 
 
 class Transducer:
     """The compiled machines of one model."""
 
-    CACHE, CACHED_CHARS = 220_000, 48
+    CACHE, CACHED_CHARS = 320_000, 48
 
     def __init__(self, model: bytes) -> None:
         from sentencepiece import sentencepiece_model_pb2
@@ -86,10 +87,13 @@ class Transducer:
             node = self.trie
             for ch in piece:
                 node = node.setdefault(ch, {})
-            node[""] = piece
+            node[""] = self.id[piece]
         crosses = any(MARK in piece.lstrip(MARK) for piece in self.id)
         self.chunk = re.compile("(?s).+" if crosses else f"{MARK}*[^{MARK}]+|{MARK}+")
-        self.apart: dict[str, dict[str, bool]] = {}
+        if self.bpe and any(ch not in self.id for piece in self.id for ch in piece):
+            raise ValueError("every character of a BPE model's pieces must be a piece itself")
+        self.piece = [p.piece for p in proto.pieces]
+        self.apart: dict[int, dict[int, bool]] = {}
         self.pairs = 0
         self.paths = _Paths(self)
 
@@ -115,63 +119,63 @@ class Transducer:
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
-    def accepts(self, a: str, b: str) -> bool:
-        """The grammar's arc from a to b has a finite weight."""
-        row = self.apart.setdefault(a, {})
-        ok = row.get(b)
-        if ok is None:
-            self.pairs += 1
-            if self.pairs > 5 * self.CACHE:
-                self.apart.clear()
-                self.pairs, row = 0, self.apart.setdefault(a, {})
-            ok = row[b] = self.merged(a + b) == [a, b]
+    def accepts(self, a: int, b: int) -> bool:
+        """The grammar's arc from piece a to piece b has a finite weight."""
+        if self.pairs > 5 * self.CACHE:
+            self.apart.clear()
+            self.pairs = 0
+        x, y = self.piece[a], self.piece[b]
+        ok = self.apart.setdefault(a, {})[b] = self.merged(x + y) == [x, y]
+        self.pairs += 1
         return ok
 
-    def shortest_path(self, s: str) -> list[str]:
-        """Symbols of the lightest path through normalised s (earliest arc on equal weight)."""
+    def shortest_path(self, s: str) -> list[int]:
+        """Outputs of the lightest path through normalised s; a character that only the fallback
+        arc reads is given as -1 - its code point."""
         return self._merge_path(s) if self.bpe else self._score_path(s)
 
-    def _merge_path(self, s: str) -> list[str]:
+    def _merge_path(self, s: str) -> list[int]:
         """With the BPE grammar every prefix has one path of finite weight (the merges of
         that prefix), so one state for each position is kept: the piece that ends there."""
-        n, trie, apart, accepts = len(s), self.trie, self.apart, self.accepts
-        last: list[str | None] = [None] * (n + 1)
+        n, trie, apart, piece_of = len(s), self.trie, self.apart, self.piece
+        last: list[int | None] = [None] * (n + 1)
         last[0] = START
         for i in range(n):
             prev = last[i]
             if prev is None:
                 continue
-            row = apart.get(prev) if prev else None
-            node, j, single = trie, i, False
-            while j < n:
-                node = node.get(s[j])
-                if node is None:
-                    break
+            row = apart.get(prev, _NONE)
+            node = trie.get(s[i])
+            if node is None:  # no piece starts here: the fallback arc, which merges with nothing
+                last[i + 1] = -1 - ord(s[i])
+                continue
+            j = i
+            while node is not None:
                 j += 1
                 piece = node.get("")
-                if piece is None:
-                    continue
-                single |= j == i + 1
-                if last[j] is None:
-                    ok = True if not prev else row.get(piece) if row else None
+                if piece is not None and last[j] is None:
+                    ok = True if prev < 0 else row.get(piece)
                     if ok is None:
-                        ok = accepts(prev, piece)
-                        row = apart.get(prev)
+                        ok = self.accepts(prev, piece)
+                        row = apart[prev]
                     if ok:
                         last[j] = piece
-            if not single and last[i + 1] is None and (not prev or accepts(prev, s[i])):
-                last[i + 1] = s[i]
+                if j == n:
+                    break
+                node = node.get(s[j])
         out, j = [], n
         while j:
-            if last[j] is None:
+            k = last[j]
+            if k is None:
                 raise ValueError("no path: the model's merges and pieces disagree")
-            out.append(last[j])
-            j -= len(last[j])
-        return out[::-1]
+            out.append(k)
+            j -= len(piece_of[k]) if k >= 0 else 1
+        out.reverse()
+        return out
 
-    def _score_path(self, s: str) -> list[str]:
+    def _score_path(self, s: str) -> list[int]:
         n, trie = len(s), self.trie
-        cost, back = [0.0] + [float("inf")] * n, [0] * (n + 1)
+        cost, back = [0.0] + [float("inf")] * n, [(0, 0)] * (n + 1)
         for i in range(n):
             node, j, single = trie, i, False
             while j < n and (node := node.get(s[j])) is not None:
@@ -179,27 +183,24 @@ class Transducer:
                 piece = node.get("")
                 if piece is not None:
                     single |= j == i + 1
-                    if cost[i] - self.score[piece] < cost[j]:
-                        cost[j], back[j] = cost[i] - self.score[piece], i
+                    w = cost[i] - self.score[self.piece[piece]]
+                    if w < cost[j]:
+                        cost[j], back[j] = w, (i, piece)
             if not single and cost[i] + self.fallback < cost[i + 1]:
-                cost[i + 1], back[i + 1] = cost[i] + self.fallback, i
+                cost[i + 1], back[i + 1] = cost[i] + self.fallback, (i, -1 - ord(s[i]))
         out, j = [], n
         while j:
-            out.append(s[back[j]:j])
-            j = back[j]
+            j, piece = back[j]
+            out.append(piece)
         return out[::-1]
 
     def ids(self, s: str) -> list[int]:
-        out: list[int] = []
-        for sym in self.shortest_path(s):
-            piece = self.id.get(sym)
-            if piece is not None:
-                out.append(piece)
-            elif self.byte_id:
-                out += [self.byte_id[b] for b in sym.encode()]
-            else:
-                out.append(self.unknown)
-        return out
+        out = self.shortest_path(s)
+        if min(out, default=0) >= 0:
+            return out
+        spread = (lambda k: [self.byte_id[b] for b in chr(-1 - k).encode("utf-8", "replace")]) if self.byte_id \
+            else lambda k: [self.unknown]
+        return [x for k in out for x in (spread(k) if k < 0 else (k,))]
 
     def encode(self, text: str | None) -> np.ndarray:
         """Piece ids of a text, as int32."""
