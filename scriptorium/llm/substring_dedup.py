@@ -3,7 +3,7 @@
 A window is ``window`` consecutive words. The minimiser of a window is the
 smallest hash among its ``gram``-word phrases; equal windows have equal
 minimisers. Consecutive windows that share one travel together, as one packed
-string of words (a super-k-mer), to the bucket of that minimiser. There the
+string of words (a super-k-mer), to the bucket of that minimiser (a bucket is cut into parts by the minimiser again). There the
 windows of all super-k-mers are sorted by hash, equal hashes are compared as
 bytes, and the smallest doc_id of each window is read off exactly.
 
@@ -40,12 +40,14 @@ from pyspark.sql import functions as F
 
 from scriptorium.llm.common import NULL_ID, SpanHash, batch, mix64, slices, texts
 
-WINDOW, GRAM = 13, 4
-BUCKET_BYTES = 1 << 20     # text for each bucket, about
-BUCKET_LIMIT = 6 << 20     # packed bytes of a bucket that are held at once
+WINDOW, GRAM = 13, 3
+BUCKET_BYTES = 4 << 20     # text for each bucket, about
+PARTS = 4                  # parts of a bucket that are sorted one after the other
+BUCKET_LIMIT = 32 << 20    # packed bytes of a bucket that are held at once
 RUN = 64                   # windows in one super-k-mer at most
+SEGMENT = 1 << 18          # packed bytes that are hashed at once
 PLACES = 4096              # bytes of places in one entry
-FLUSH_BYTES = 12 << 20     # text that a map task gathers before it sends rows
+FLUSH_BYTES = 5 << 20      # text that a map task gathers before it sends rows
 _PLACE = np.dtype([("doc", "<i8"), ("crc", "<u4"), ("at", "<u4")])
 
 
@@ -101,88 +103,97 @@ def super_kmers(docs: list[list[bytes]], window: int, gram: int, hasher: SpanHas
 
 
 def _cut(window: int, gram: int, buckets: int):
-    schema = pa.schema([("key", pa.int64()), ("kind", pa.int32()), ("body", pa.binary())])
-
-    def flush(held: dict) -> Iterator[pa.RecordBatch]:
-        by_bucket: dict[int, list] = {}
-        for (bucket, packed), places in held.items():
-            by_bucket.setdefault(bucket, []).append((packed, places))
-        keys, bodies = [], []
-        for bucket, entries in by_bucket.items():
-            keys.append(bucket)
-            bodies.append(pack(entries))
-        held.clear()
-        for i in range(0, len(keys), 2000):
-            part = keys[i:i + 2000]
-            yield batch(schema, {"key": part, "kind": [0] * len(part), "body": bodies[i:i + 2000]})
+    schema = pa.schema([("key", pa.int64()), ("body", pa.binary())])
+
+    def flush(held: dict[int, dict[bytes, bytes]]) -> Iterator[pa.RecordBatch]:
+        while held:
+            part = [held.popitem() for _ in range(min(64, len(held)))]
+            yield batch(schema, {"key": [k // PARTS for k, _ in part], "body": [pack(k % PARTS, x) for k, x in part]})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, held, size = SpanHash(), {}, 0
-        for b in batches:
-            for piece in slices(iter([b]), "text", 2 << 20):
-                rows = []
-                for doc, text in zip(piece.column("doc_id").to_pylist(), piece.column("text").to_pylist()):
-                    w = split_words(text)
-                    if len(w) >= window:
-                        rows.append((NULL_ID if doc is None else doc, zlib.crc32(text.encode("utf-8", "replace")), w))
-                if not rows:
-                    continue
-                buf, number, at, s, e, low = super_kmers([w for _, _, w in rows], window, gram, hasher)
-                place = np.empty(len(at), _PLACE)
-                place["doc"] = np.array([r[0] for r in rows], np.int64)[number]
-                place["crc"] = np.array([r[1] for r in rows], np.uint32)[number]
-                place["at"] = at
-                raw, bucket = place.tobytes(), (low % np.uint64(buckets)).tolist()
-                for i, (x, y, k) in enumerate(zip(s.tolist(), e.tolist(), bucket)):
-                    key, one = (k, buf[x:y]), raw[16 * i:16 * i + 16]
-                    known = held.get(key, b"")
-                    if len(known) >= PLACES:  # a long list goes out, and a new one starts
-                        yield batch(schema, {"key": [k], "kind": [0], "body": [pack([(key[1], known)])]})
-                        known = b""
-                    held[key] = known + one
-                size += len(buf)
-                if size >= FLUSH_BYTES:
-                    yield from flush(held)
-                    size = 0
+        hasher, size = SpanHash(), 0
+        held: dict[int, dict[bytes, bytes]] = {}  # bucket and part -> packed words -> places
+        for b in slices(batches, "text", 1 << 19):
+            rows = []
+            for doc, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist()):
+                w = split_words(text)
+                if len(w) >= window:
+                    rows.append((NULL_ID if doc is None else doc, zlib.crc32(text.encode("utf-8", "replace")), w))
+            if not rows:
+                continue
+            buf, number, at, s, e, low = super_kmers([w for _, _, w in rows], window, gram, hasher)
+            place = np.empty(len(at), _PLACE)
+            place["doc"] = np.array([r[0] for r in rows], np.int64)[number]
+            place["crc"] = np.array([r[1] for r in rows], np.uint32)[number]
+            place["at"] = at
+            raw, key = place.tobytes(), (low % np.uint64(buckets * PARTS)).tolist()
+            for i, (x, y, k) in enumerate(zip(s.tolist(), e.tolist(), key)):
+                entries, words, one = held.setdefault(k, {}), buf[x:y], raw[16 * i:16 * i + 16]
+                known = entries.get(words, b"")
+                if len(known) >= PLACES:  # a long list goes out, and a new one starts
+                    yield batch(schema, {"key": [k // PARTS], "body": [pack(k % PARTS, {words: known})]})
+                    known = b""
+                entries[words] = known + one
+            size += len(buf)
+            if size >= FLUSH_BYTES:
+                yield from flush(held)
+                size = 0
         yield from flush(held)
 
     return run
 
 
-def pack(entries: list[tuple[bytes, bytes]]) -> bytes:
-    """Entries (packed words, places) of one bucket as one compressed body."""
-    entries.sort()
-    counts = np.array([len(p) // 16 for _, p in entries], "<u4").tobytes()
-    words = b"\n".join(w for w, _ in entries)
-    raw = struct.pack("<II", len(entries), len(words)) + counts + words + b"".join(p for _, p in entries)
-    return struct.pack("<I", len(raw)) + zlib.compress(raw, 1)
+def pack(part: int, entries: dict[bytes, bytes]) -> bytes:
+    """Entries (packed words -> places) of one part of a bucket as one compressed body."""
+    words = sorted(entries)
+    places = np.frombuffer(b"".join(map(entries.__getitem__, words)), _PLACE)
+    counts = np.fromiter((len(entries[w]) // 16 for w in words), "<u4", len(words))
+    text = b"\n".join(words)
+    raw = text + b"".join(np.ascontiguousarray(c).view(np.uint8).reshape(len(c), -1).T.tobytes()  # byte planes
+                          for c in (counts, places["doc"], places["crc"], places["at"]))
+    return struct.pack("<BIII", part, len(words), len(text), len(places)) + pa.Codec("zstd", 9).compress(raw, asbytes=True)
+
+
+def raw_size(body: bytes) -> int:
+    _, n, text, places = struct.unpack_from("<BIII", body)
+    return text + 4 * n + 16 * places
 
 
 def unpack(body: bytes) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     """(packed words, number of places, places) of a body."""
-    raw = zlib.decompress(memoryview(body)[4:])
-    n, size = struct.unpack_from("<II", raw)
-    at = 8 + 4 * n
-    return (raw[at:at + size].split(b"\n"), np.frombuffer(raw, "<u4", n, 8).astype(np.int64),
-            np.frombuffer(raw[at + size:], _PLACE))
+    _, n, text, n_places = struct.unpack_from("<BIII", body)
+    raw = pa.Codec("zstd").decompress(memoryview(body)[13:], raw_size(body), asbytes=True)
+    at, out = text, []
+    for size, kind in ((n, "<u4"), (n_places, "<i8"), (n_places, "<u4"), (n_places, "<u4")):
+        width = np.dtype(kind).itemsize
+        planes = np.frombuffer(raw, np.uint8, size * width, at).reshape(width, size)
+        out.append(np.ascontiguousarray(planes.T).view(kind).reshape(size))
+        at += size * width
+    places = np.empty(n_places, _PLACE)
+    places["doc"], places["crc"], places["at"] = out[1:]
+    return raw[:text].split(b"\n"), out[0].astype(np.int64), places
 
 
 def first_docs(packed: list[bytes], first: np.ndarray, window: int, hasher: SpanHash
                ) -> tuple[np.ndarray, np.ndarray]:
     """For distinct packed strings with their smallest doc each: the number of windows of each,
     and for each window, in order, the smallest doc that holds it."""
-    buf = b" ".join(packed)
-    raw = np.frombuffer(buf, np.uint8)
-    start, end = _word_edges(raw)
-    lengths = np.fromiter(map(len, packed), np.int64, len(packed))
+    buf, lengths = b" ".join(packed), np.fromiter(map(len, packed), np.int64, len(packed))
     begins = np.cumsum(lengths + 1) - lengths - 1
-    word_of = np.searchsorted(start, begins)
-    count = np.diff(np.concatenate([word_of, [len(start)]])) - window + 1
-    shift = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-    at = np.repeat(word_of, count) + shift
-    hasher.load(raw)
-    s, e = start[at], end[at + window - 1]
-    h, doc = hasher.spans(s, e), np.repeat(first, count)
+    counts, starts, ends, hashes = [], [], [], []
+    for some in np.split(np.arange(len(packed)), np.flatnonzero(np.diff(begins // SEGMENT)) + 1):
+        base = int(begins[some[0]])
+        raw = np.frombuffer(buf, np.uint8, int(begins[some[-1]] + lengths[some[-1]]) - base, base)
+        start, end = _word_edges(raw)
+        word_of = np.searchsorted(start, begins[some] - base)
+        n = np.diff(np.concatenate([word_of, [len(start)]])) - window + 1
+        at = np.repeat(word_of, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        hasher.load(raw)
+        s, e = start[at], end[at + window - 1]
+        for held, x in ((counts, n), (starts, s + base), (ends, e + base), (hashes, hasher.spans(s, e))):
+            held.append(x)
+    count, s, e, h = map(np.concatenate, (counts, starts, ends, hashes))
+    doc = np.repeat(first, count)
     order = np.lexsort((doc, h))
     sorted_h = h[order]
     head = np.empty(len(order), bool)
@@ -212,14 +223,10 @@ _RANGE = pa.schema([("key", pa.int64()), ("kind", pa.int32()), ("doc", pa.int64(
 _RANGE_SQL = "key long, kind int, doc long, crc long, s int, e int, body binary"
 
 
-def _key_of_doc(doc: np.ndarray) -> np.ndarray:
-    return mix64(doc.astype(np.int64).view(np.uint64)).view(np.int64)
-
-
 def _ranges(doc, crc, s, e) -> pa.RecordBatch:
     doc = np.asarray(doc, np.int64)
     n = len(doc)
-    return batch(_RANGE, {"key": _key_of_doc(doc), "kind": np.zeros(n, np.int32), "doc": doc,
+    return batch(_RANGE, {"key": doc, "kind": np.zeros(n, np.int32), "doc": doc,
                           "crc": np.asarray(crc, np.int64), "s": np.asarray(s, np.int32),
                           "e": np.asarray(e, np.int32), "body": pa.nulls(n, pa.binary())})
 
@@ -244,12 +251,17 @@ def _judge(window: int, limit: int):
                                          "e": [x + window for x in s], "body": one})
                     rows = ([], [], [], [], [])
 
+    def parts(bodies: list[bytes], hasher: SpanHash) -> Iterator[pa.RecordBatch]:
+        for part in range(PARTS):
+            if own := [b for b in bodies if b[0] == part]:
+                yield from judge(own, hasher)
+
     def judge(bodies: list[bytes], hasher: SpanHash) -> Iterator[pa.RecordBatch]:
-        parts = [unpack(b) for b in bodies]
+        opened = [unpack(b) for b in bodies]
         number: dict[bytes, int] = {}
-        of = np.array([number.setdefault(w, len(number)) for ws, _, _ in parts for w in ws], np.int64)
-        place = np.concatenate([p for _, _, p in parts])
-        of = np.repeat(of, np.concatenate([n for _, n, _ in parts]))
+        of = np.array([number.setdefault(w, len(number)) for ws, _, _ in opened for w in ws], np.int64)
+        place = np.concatenate([p for _, _, p in opened])
+        of = np.repeat(of, np.concatenate([n for _, n, _ in opened]))
         first = np.full(len(number), NULL_ID, np.int64)
         np.minimum.at(first, of, place["doc"])
         count, earliest = first_docs(list(number), first, window, hasher)
@@ -281,16 +293,14 @@ def _judge(window: int, limit: int):
         for b in batches:
             for key, body in zip(b.column("key").to_pylist(), b.column("body").to_pylist()):
                 if key != bucket:
-                    if bodies:
-                        yield from judge(bodies, hasher)
+                    yield from parts(bodies, hasher)
                     bucket, bodies, held, over = key, [], 0, False
                 bodies.append(body)
-                held += struct.unpack_from("<I", body)[0]
+                held += raw_size(body)
                 if over or held > limit:
                     yield from windows_alone(bodies)
                     bodies, over = [], True
-        if bodies:
-            yield from judge(bodies, hasher)
+        yield from parts(bodies, hasher)
 
     return run
 
@@ -319,29 +329,41 @@ def removed_ranges(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, buck
     if buckets is None:
         size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
         buckets = max(64, size // BUCKET_BYTES)
-    cut = docs.mapInArrow(_cut(window, gram, int(buckets)), "key long, kind int, body binary")
+    cut = docs.mapInArrow(_cut(window, gram, int(buckets)), "key long, body binary")
     judged = cut.repartition("key").sortWithinPartitions("key").mapInArrow(_judge(window, bucket_limit), _RANGE_SQL)
     return judged.repartition("key").sortWithinPartitions("key", "kind", "body", "doc") \
         .mapInArrow(_judge_alone, _RANGE_SQL).select("doc", "crc", "s", "e")
 
 
+def _packed_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts are compressed for their one shuffle; words and separators stay as they are."""
+    schema = pa.schema([("doc_id", pa.int64()), ("doc", pa.int64()), ("crc", pa.int64()), ("size", pa.int64()),
+                        ("text", pa.binary())])
+    codec = pa.Codec("zstd", 3)
+    for b in slices(batches, "text", 4 << 20):
+        raw = [(t or "").encode("utf-8", "replace") for t in b.column("text").to_pylist()]
+        yield batch(schema, {"doc_id": b.column("doc_id"), "doc": b.column("doc_id").fill_null(NULL_ID),
+                             "crc": [zlib.crc32(r) for r in raw], "size": [len(r) for r in raw],
+                             "text": [codec.compress(r, asbytes=True) if r else b"" for r in raw]})
+
+
 def dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, buckets: int | None = None,
           bucket_limit: int = BUCKET_LIMIT) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 and the kept words for each row of docs."""
     docs = texts(docs)
     ranges = removed_ranges(docs, window, gram, buckets, bucket_limit).groupBy("doc", "crc").agg(
         F.collect_set(F.struct("s", "e")).alias("gone"))
-    keyed = docs.withColumns({"doc": F.coalesce("doc_id", F.lit(NULL_ID)),
-                              "crc": F.crc32(F.coalesce("text", F.lit("")).cast("binary"))})
+    packed = docs.mapInArrow(_packed_texts, "doc_id long, doc long, crc long, size long, text binary")
     schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()),
                         ("kept_sha256", pa.string()), ("kept", pa.string())])
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, "text", 8 << 20):
+        codec = pa.Codec("zstd")
+        for b in slices(batches, "text", 1 << 20):
             total, removed, digest, kept = [], [], [], []
             gone = b.column("gone")
-            for i, text in enumerate(b.column("text").to_pylist()):
-                w = split_words(text)
+            for i, (text, size) in enumerate(zip(b.column("text").to_pylist(), b.column("size").to_pylist())):
+                w = codec.decompress(text, size, asbytes=True).split() if size else []
                 total.append(len(w))
                 if gone[i].is_valid:
                     cover = np.zeros(len(w) + 1, np.int32)
@@ -356,7 +378,7 @@ def dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, buckets: int
             yield batch(schema, {"doc_id": b.column("doc_id"), "n_words": total, "n_removed": removed,
                                  "kept_sha256": digest, "kept": kept})
 
-    return keyed.join(ranges, ["doc", "crc"], "left").select("doc_id", "text", "gone") \
+    return packed.join(ranges, ["doc", "crc"], "left").select("doc_id", "size", "text", "gone") \
         .mapInArrow(apply, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string")
 
 
