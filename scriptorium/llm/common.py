@@ -10,6 +10,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from scriptorium.session import ensure_checkpoint_dir
+
 WORD_GAP = b" \t\n\x0b\x0c\r"  # what bytes.split() splits on
 NULL_ID = (1 << 63) - 1        # a null id sorts after every other id
 
@@ -24,6 +26,12 @@ def texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Data
                      F.col(text_col).cast("string").alias("text"))
 
 
+def cut(df: DataFrame) -> DataFrame:
+    """Cut lineage: a reliable checkpoint in the session's shared folder."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
+
+
 def held_out(id_col: Column) -> Column:
     """The fixed fold: crc32 of the id as text, modulo 5, is 0 (null id: as the empty text)."""
     return F.crc32(F.coalesce(id_col.cast("string"), F.lit("")).cast("binary")) % 5 == 0

@@ -5,31 +5,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scriptorium.session import materialize
+from scriptorium.llm.common import cut
 
 
 def smallest_reachable(edges: DataFrame) -> DataFrame:
     """(node, root): root is the smallest node reachable over edges (a, b), for every node that
-    has an edge. Alternates two steps, each one shuffle of narrow rows: every node's larger
-    neighbours are tied to its smallest one, then its smaller ones are. Each step keeps the
-    components, and the tree depths fall geometrically; every round is written to the shared
-    checkpoint folder, so a lost executor costs one round. Ends when a round changes nothing."""
-    def state(links: DataFrame) -> tuple:
-        return tuple(links.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first())
-
-    pairs = materialize(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-                        .where("a <> b").distinct(), "links")
-    before = state(pairs)
-    while before[0]:
+    has an edge. Alternates two steps: every node's larger neighbours are tied to its smallest
+    one, then its smaller ones are. Each step keeps the components, and the tree depths fall
+    geometrically. A node's minimum is a sum with partial results and meets the node's links
+    in a join, so a node with very many links is split by adaptive execution. Every round is
+    checkpointed in the shared folder: a lost executor costs one round. Ends when all
+    links are stars: no node has two parents, and no parent has one."""
+    pairs = cut(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+                        .where("a <> b").distinct())
+    while not _stars(pairs):
         both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        large = both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         low = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(low, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")) \
-            .unionByName(low.select("a", F.col("m").alias("b")))
-        pairs = materialize(small.distinct(), "links")
-        after = state(pairs)
-        if after == before:
-            break
-        before = after
+        tied = large.join(low, "a").select("a", "b", "m")
+        # (a, m) for each a, and (b, m) for its other parents b
+        small = tied.select(F.inline(F.array(F.struct("a", F.col("m").alias("b")),
+                                             F.struct(F.col("b").alias("a"), F.col("m").alias("b"))))).where("a <> b")
+        pairs = cut(small.distinct())
     return pairs.select(F.col("a").alias("node"), F.col("b").alias("root"))
+
+
+def _stars(pairs: DataFrame) -> bool:
+    """One sum by node: how often it is a child, and whether it is a parent."""
+    roles = pairs.select(F.inline(F.array(
+        F.struct(F.col("a").alias("node"), F.lit(1).alias("child"), F.lit(0).alias("parent")),
+        F.struct(F.col("b").alias("node"), F.lit(0).alias("child"), F.lit(1).alias("parent"))))) \
+        .groupBy("node").agg(F.sum("child").alias("child"), F.max("parent").alias("parent"))
+    return roles.where("child > 1 OR (child = 1 AND parent = 1)").isEmpty()

@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from scriptorium.llm.common import batch, texts
+from scriptorium.llm.common import batch, slices, texts
 from scriptorium.llm.components import smallest_reachable
 from scriptorium.session import materialize
 
@@ -73,7 +73,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     schema = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches, "text", 2 << 20):
             fp = np.array([fingerprint(t, shingle) for t in b.column("text").to_pylist()], np.uint64)
             yield batch(schema, {"doc_id": b.column("doc_id"), "fp": fp.view(np.int64)})
 
@@ -244,7 +244,7 @@ def link_components(distinct: DataFrame, radius: int = RADIUS, dense: int = DENS
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """(doc_id, fp, component_id) for each row of docs; component_id is the smallest doc_id reachable."""
     rows = materialize(fingerprints(docs, shingle), "fingerprints")
-    classes = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "classes")
+    classes = rows.groupBy("fp").agg(F.min("doc_id").alias("first"))
     root = link_components(classes.select("fp"), radius).withColumnsRenamed({"node": "fp"})
     labelled = classes.join(root, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     first = labelled.groupBy("root").agg(F.min("first").alias("component_id"))
