@@ -24,8 +24,9 @@ DEFAULT_YEAR = 1678
 
 
 def try_int(c: ColumnOrName) -> Column:
-    """Python ``int(s)`` for strings: surrounding blanks allowed, else null."""
-    return _c(c).try_cast("int")
+    """Python ``int(s)`` for strings: surrounding blanks allowed, and integral decimals
+    (``2015.0``, as exports with gaps write them); else null."""
+    return F.regexp_extract(_c(c).cast("string"), r"^\s*([+-]?\d+)(?:\.0*)?\s*$", 1).try_cast("int")
 
 
 def _count_char(s: Column, ch: str) -> Column:

@@ -12,24 +12,28 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .keys import dense_keys, max_key
-
-
-def _cond(left: DataFrame, right: DataFrame, cols: list[str], null_safe: bool):
-    if null_safe:
-        return reduce(lambda a, b: a & b,
-                      [left[c].eqNullSafe(right[c]) for c in cols])
-    return reduce(lambda a, b: a & b, [left[c] == right[c] for c in cols])
+from .keys import max_key, number_rows
 
 
 def new_rows(source: DataFrame, target: DataFrame | None, on: list[str],
              null_safe: bool = True) -> DataFrame:
     """Rows of ``source`` whose ``on`` key is not in ``target``.
-    ``null_safe`` matches null with null (pandas merge semantics, J7)."""
+    ``null_safe`` matches null with null (pandas merge semantics, J7).
+
+    A null-safe match shuffles on one hash of the attributes and compares them
+    one by one afterwards, so each side moves once, and wide attributes are no
+    sort keys."""
     if target is None:
         return source
-    t = target.select(*on).distinct()
-    return source.join(t, _cond(source, t, on, null_safe), "left_anti")
+    t = target.select(*on)
+    if not null_safe:
+        return source.join(t, on, "left_anti")
+    # equal values must hash alike, so both sides hash the common (wider) type
+    common = source.select(*on).limit(0).unionByName(t.limit(0)).schema
+    key = F.xxhash64(*[F.col(f.name).cast(f.dataType) for f in common.fields])
+    s, t = source.withColumn("_match", key), t.withColumn("_match", key)
+    cond = reduce(lambda a, b: a & b, [s[c].eqNullSafe(t[c]) for c in on], s["_match"] == t["_match"])
+    return s.join(t, cond, "left_anti").drop("_match")
 
 
 def full_row_delta(source: DataFrame, target: DataFrame | None,
@@ -41,12 +45,9 @@ def full_row_delta(source: DataFrame, target: DataFrame | None,
 
 def append_keys(delta: DataFrame, target: DataFrame | None, key_name: str,
                 order_cols: list[str], num_partitions: int | None = None) -> DataFrame:
-    """W2 + A7: give delta rows (distinct on ``order_cols``) keys above the
-    target's highest key."""
-    start = max_key(target, key_name)
-    keys = dense_keys(delta, order_cols, key_name, start, num_partitions)
-    return delta.join(keys, _cond(delta, keys, order_cols, True), "inner").select(
-        delta["*"], keys[key_name])
+    """W2 + A7: give each delta row a key above the target's highest key, in the
+    order of ``order_cols``."""
+    return number_rows(delta, order_cols, key_name, max_key(target, key_name), num_partitions)
 
 
 def rows_once(df: DataFrame, cols: list[str] | None = None) -> DataFrame:

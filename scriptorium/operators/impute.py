@@ -22,16 +22,6 @@ def drop_all_null(df: DataFrame) -> DataFrame:
     return df.na.drop(how="all")
 
 
-def drop_any_null(df: DataFrame) -> DataFrame:
-    """Drop rows with any null."""
-    return df.na.drop(how="any")
-
-
-def drop_null_in(df: DataFrame, subset: list[str]) -> DataFrame:
-    """Drop rows null in one of ``subset``."""
-    return df.na.drop(how="any", subset=subset)
-
-
 def fill(df: DataFrame, values: dict) -> DataFrame:
     """P5: per-column defaults; date defaults go through ``coalesce`` because
     ``na.fill`` does not take dates."""
@@ -43,16 +33,6 @@ def fill(df: DataFrame, values: dict) -> DataFrame:
     return out
 
 
-def fill_defaults(df: DataFrame) -> DataFrame:
-    """``'MISSING'`` in every string column, 0 in every numeric column,
-    1678-01-01 in date columns."""
-    out = df.na.fill(MISSING).na.fill(0)
-    dates = [f.name for f in df.schema.fields if isinstance(f.dataType, T.DateType)]
-    if dates:
-        out = out.withColumns({c: F.coalesce(F.col(c), F.lit(DEFAULT_DATE)) for c in dates})
-    return out
-
-
 def default_row(schema: T.StructType, overrides: dict | None = None) -> dict:
     """The unknown-member row of a table: key 0 and defaults by type."""
     row = {}

@@ -1,9 +1,9 @@
 """Surrogate and group keys (inventory W1, W2, W3, A7).
 
 ``row_number() over (order by k)`` without a partition moves every row into one
-task. ``dense_keys`` gives the same numbers with all work distributed:
+task. ``number_rows`` gives the same numbers with all work distributed:
 
-1. distinct natural keys are range-partitioned and sorted inside each
+1. rows are range-partitioned by the natural key and sorted inside each
    partition; each row records its partition id and its position in it;
 2. partition id and position are written as a table into the shared
    checkpoint folder, so they stay valid even if an executor is lost and a
@@ -32,20 +32,19 @@ def max_key(df: DataFrame | None, key: str) -> int:
     return int(row["m"]) if row is not None and row["m"] is not None else 0
 
 
-def dense_keys(df: DataFrame, key_cols: list[str], key_name: str,
-               start_after: int = 0, num_partitions: int | None = None) -> DataFrame:
-    """Give each distinct ``key_cols`` tuple of ``df`` a consecutive key
-    ``start_after + 1, start_after + 2, ...`` in ascending key order (nulls
-    first). Returns ``key_cols + [key_name]``, one row per distinct tuple.
-    """
+def number_rows(df: DataFrame, order_cols: list[str], key_name: str,
+                start_after: int = 0, num_partitions: int | None = None) -> DataFrame:
+    """Every row of ``df`` with a key of its own, ``start_after + 1, ...`` in
+    the order of ``order_cols`` (nulls first). The other columns travel with the
+    row, so nothing is joined back. Rows that tie on ``order_cols`` get
+    different keys in either order."""
     ensure_checkpoint_dir(df.sparkSession)
     pid = F.spark_partition_id().cast("long")
-    order = [F.col(c).asc_nulls_first() for c in key_cols]
-    distinct = df.select(*key_cols).distinct()
+    order = [F.col(c).asc_nulls_first() for c in order_cols]
     # without an explicit count AQE may merge adjacent ranges of a small input
     # (merged partitions stay contiguous in key order, so positions hold)
-    ranged_in = (distinct.repartitionByRange(num_partitions, *order) if num_partitions
-                 else distinct.repartitionByRange(*order))
+    ranged_in = (df.repartitionByRange(num_partitions, *order) if num_partitions
+                 else df.repartitionByRange(*order))
     ranged = (
         ranged_in
         .sortWithinPartitions(*order)
@@ -60,19 +59,19 @@ def dense_keys(df: DataFrame, key_cols: list[str], key_name: str,
     offsets = counts.select(
         "_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
     return ranged.join(F.broadcast(offsets), "_pid").select(
-        *key_cols,
+        *df.columns,
         (F.lit(start_after).cast("long") + F.col("_off") + F.col("_pos") + 1)
         .alias(key_name),
     )
 
 
-def with_dense_keys(df: DataFrame, key_cols: list[str], key_name: str,
-                    start_after: int = 0, num_partitions: int | None = None) -> DataFrame:
-    """W2 on a table whose rows are already distinct on ``key_cols``: attach the
-    key to every row (a join on the natural key)."""
-    keys = dense_keys(df, key_cols, key_name, start_after, num_partitions)
-    cond = [df[c].eqNullSafe(keys[c]) for c in key_cols]
-    return df.join(keys, cond, "inner").select(df["*"], keys[key_name])
+def dense_keys(df: DataFrame, key_cols: list[str], key_name: str,
+               start_after: int = 0, num_partitions: int | None = None) -> DataFrame:
+    """Give each distinct ``key_cols`` tuple of ``df`` a consecutive key
+    ``start_after + 1, start_after + 2, ...`` in ascending key order (nulls
+    first). Returns ``key_cols + [key_name]``, one row per distinct tuple.
+    """
+    return number_rows(df.select(*key_cols).distinct(), key_cols, key_name, start_after, num_partitions)
 
 
 def group_numbers(df: DataFrame, key_cols: list[str], name: str,

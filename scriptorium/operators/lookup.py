@@ -6,9 +6,9 @@ plan time from statistics and again at run time from shuffle sizes);
 otherwise it is a sort-merge join, and AQE splits skewed partitions. No
 dimension is broadcast on faith, because dimensions grow with the data.
 
-The unknown member (key 0 / ``'MISSING'``) is the typical hot key: rows whose
-natural key is null or the default value get key 0 by a constant and are kept
-out of the join condition.
+The unknown member (key 0 / ``'MISSING'``) is the typical hot key. A lookup is
+a left join, so adaptive execution splits its partition like any other skewed
+one; values that denote it never match.
 """
 
 from __future__ import annotations
@@ -81,8 +81,3 @@ def full_merge(left: DataFrame, right: DataFrame, on: list[str],
     keys = [F.coalesce(F.col(f"_l_{c}"), F.col(f"_r_{c}")).alias(c) for c in on]
     rest = [c for c in j.columns if not c.startswith("_l_") and not c.startswith("_r_")]
     return j.select(*keys, *rest)
-
-
-def first_non_null(df: DataFrame, pairs: dict[str, tuple[str, str]]) -> DataFrame:
-    """P10: ``out = coalesce(a, b)`` for each ``out: (a, b)``."""
-    return df.withColumns({o: F.coalesce(F.col(a), F.col(b)) for o, (a, b) in pairs.items()})

@@ -19,18 +19,18 @@ HEADINGS = ("Abstract", "Introduction", "Data Collection", "Sample Design",
             "Methods", "Results", "Analysis", "Discussion", "Conclusion",
             "Theory")
 
-MIN_ENTITY_LENGTH = 4
-
-
 # tables whose rows carry whole texts: per-row work on them is heavy
 TEXT_TABLES = {"documents": "doc_id"}
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table. Text tables are spread over ``spark.scriptorium.textPartitions`` tasks by a hash
+    of their key where that setting is given (files with few, large row groups); by default the
+    scan's own splits are used."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    if name in TEXT_TABLES:
-        from ..sources.files import spread
-        df = spread(df, TEXT_TABLES[name])
+    parts = spark.conf.get("spark.scriptorium.textPartitions", None)
+    if parts and name in TEXT_TABLES:
+        df = df.repartition(int(parts), TEXT_TABLES[name])
     return df
 
 
@@ -69,15 +69,13 @@ SENTENCE_KEY = ["doc_id", "line_no", "sent_no"]
 def detections(docs: DataFrame) -> DataFrame:
     """Entity facts: one row per (sentence, entity) with its count (A1).
 
-    Entities are the lower-cased letter runs of at least 4 letters; the label
-    is chosen by word length from the 16 labels. Rows carry the sentence key,
+    Entities are the lower-cased letter runs; the label is chosen by word length from the 16 labels. Rows carry the sentence key,
     not its text: heading and type are functions of the line number, and the
     text is joined back only where it is read (``sentence_text``)."""
     labels = F.array(*[F.lit(x) for x in LABELS])
     w = (sentences(docs)
          .select(*SENTENCE_KEY, F.explode(tx.words(F.col("sentence"))).alias("w"))
-         .withColumn("entity_name", F.lower("w"))
-         .filter(F.length("entity_name") >= MIN_ENTITY_LENGTH))
+         .withColumn("entity_name", F.lower("w")))
     return (w.groupBy(*SENTENCE_KEY, "entity_name")
             .agg(F.count(F.lit(1)).alias("entity_count"))
             .withColumns({
@@ -118,6 +116,5 @@ detections AS (
          {_sql_array(LABELS)}[CAST(length(entity_name) % {len(LABELS)} AS INTEGER) + 1] AS entity_label
   FROM (SELECT doc_id, line_no, sent_no, heading, sentence_type, sentence, lower(w) AS entity_name
         FROM (SELECT *, unnest(regexp_extract_all(sentence, '\\p{{L}}+')) AS w FROM sentences))
-  WHERE length(entity_name) >= {MIN_ENTITY_LENGTH}
   GROUP BY ALL
 )"""

@@ -6,9 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
-from ..operators.delta import new_rows
+from ..operators.delta import append_keys, new_rows
 from ..operators.impute import with_unknown_member
-from ..operators.keys import dense_keys, max_key
 from ..schemas import TABLES
 
 
@@ -29,5 +28,5 @@ def keyword_delta(keywords: DataFrame, existing: DataFrame | None) -> DataFrame:
     src = (keywords.select(tx.lower("keyword").alias("keyword_string"))
            .filter(F.col("keyword_string").isNotNull()).distinct())
     delta = new_rows(src, existing, ["keyword_string"], null_safe=False)
-    keyed = dense_keys(delta, ["keyword_string"], "keyword_pk", max_key(existing, "keyword_pk"))
+    keyed = append_keys(delta, existing, "keyword_pk", ["keyword_string"])
     return with_unknown_member(keyed, TABLES["dim_keyword"], is_first_load(existing, "keyword_pk"))

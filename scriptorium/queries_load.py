@@ -29,14 +29,12 @@ def derived_sources(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
                       F.col("sent_no").cast("string"))
     pid = F.concat_ws(":", F.col("doc_id").cast("string"), F.col("line_no").cast("string"))
 
-    keywords = (sents.filter((F.col("line_no") == 0) & (F.col("sent_no") == 0))
-                .select(F.col("doc_id").alias("article_id"),
-                        F.explode(tx.words(F.col("sentence"))).alias("keyword"))
-                .filter(F.length("keyword") >= 6))
+    keywords = docs.select(F.col("doc_id").alias("article_id"),
+                           F.explode(tx.words(F.col("text"))).alias("keyword")).distinct()
     li = load(spark, sf, "lineitem")
     sup = load(spark, sf, "supplier").join(load(spark, sf, "nation"),
                                            F.col("s_nationkey") == F.col("n_nationkey"))
-    authors = (docs.select("doc_id").join(li, F.col("doc_id") == F.col("l_orderkey"))
+    authors = (li.withColumn("doc_id", F.col("l_orderkey"))
                .join(part, F.col("l_partkey") == F.col("p_partkey"))
                .join(sup, F.col("l_suppkey") == F.col("s_suppkey"), "left")
                .select(F.col("doc_id").alias("article_id"),
@@ -46,12 +44,11 @@ def derived_sources(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
                        F.concat(F.lit("Inst "), (F.col("s_nationkey") % 5).cast("string")).alias("institutions"),
                        F.col("n_name").alias("countries"),
                        F.col("l_linenumber").alias("author_position")))
-    first_line = lines(docs).filter(F.col("line_no") == 0).select("doc_id", F.col("line").alias("abstract"))
-    papers = docs.join(first_line, "doc_id", "left").select(
+    papers = docs.select(
         F.col("doc_id").alias("article_id"),
         F.concat(F.lit("D"), F.col("doc_id").cast("string")).alias("citekey"),
         F.concat_ws(" ", "source", F.lit("paper"), F.col("doc_id").cast("string")).alias("title"),
-        "abstract", (F.col("n_chars") % 40 + 1990).cast("string").alias("year"),
+        F.col("text").alias("abstract"), (F.col("n_chars") % 40 + 1990).cast("string").alias("year"),
         (F.col("n_chars") / 2000).cast("int").cast("string").alias("number_of_pages"),
         F.concat(F.lit("Journal of "), F.col("lang")).alias("journal"),
         F.upper("lang").alias("journal_akronym"), F.col("source").alias("publisher"),
@@ -76,15 +73,13 @@ def derived_sources(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
         F.lit(None).cast("string").alias("last_subsection_title"), F.lit("BODY").alias("paragraph_type"))
     sentences_src = sents.select(sid.alias("sentence_id"), pid.alias("para_id"), "sentence",
                                  "sentence_type")
-    citations = sents.filter(F.col("sent_no") == 0).select(
+    citations = sents.select(
         sid.alias("sentence_id"),
-        F.concat(F.lit("P"), (F.col("doc_id") + F.col("line_no")).cast("string")).alias("reference_citekey"))
+        F.concat(F.lit("P"), (F.col("doc_id") + F.col("line_no") + F.col("sent_no")).cast("string")).alias("reference_citekey"))
     from .functions.weights import LABELS
-    from .plans.analogue import MIN_ENTITY_LENGTH
     labels = F.array(*[F.lit(x) for x in LABELS])
     ents = (sents.select(sid.alias("sentence_id"), F.explode(tx.words(F.col("sentence"))).alias("w"))
             .select("sentence_id", F.lower("w").alias("ent_id"))
-            .filter(F.length("ent_id") >= MIN_ENTITY_LENGTH)
             .withColumn("label", F.element_at(labels, (F.length("ent_id") % len(LABELS) + 1).cast("int"))))
     entities = ents.select("sentence_id", "label", "ent_id",
                            F.concat_ws("/", "label", F.substring("ent_id", 1, 1), "ent_id").alias("ent_path"))
@@ -114,3 +109,133 @@ def full_load(spark: SparkSession, sf: str) -> DataFrame:
     long = reduce(DataFrame.unionByName, parts)
     wide = long.groupBy("table_name").pivot("metric", metrics).agg(F.sum("value"))
     return wide.na.fill(0, subset=metrics).select("table_name", *metrics)
+
+
+# ---------------------------------------------------------------------------
+# PL7 / PL10 / C8 / H4: two loads onto Parquet tables; the second brings new
+# entities under known nodes, children for stored leaves, and known inner nodes
+# as roots
+# ---------------------------------------------------------------------------
+
+def _part_sources(spark: SparkSession, sf: str, second: bool) -> dict[str, DataFrame]:
+    from .schemas import SOURCES
+    part = load(spark, sf, "part")
+    sup = load(spark, sf, "supplier")
+    key = F.col("p_partkey").cast("string")
+    word = F.split_part("p_name", F.lit(" "), F.lit(1))
+    paths = [F.struct(F.col("p_type").alias("ent_id"), F.col("p_type").alias("ent_path")),
+             F.struct(F.col("p_brand").alias("ent_id"), F.concat_ws("/", "p_type", "p_brand").alias("ent_path"))]
+    if second:
+        paths += [F.struct(word.alias("ent_id"), F.concat_ws("/", "p_type", "p_brand", word).alias("ent_path")),
+                  F.struct(word.alias("ent_id"), F.when(F.col("p_size") % 5 == 0, F.concat_ws("/", F.col("p_brand"), word))
+                           .otherwise(word).alias("ent_path"))]
+    own = {
+        "keywords.csv": part.select(F.col("p_partkey").alias("article_id"), F.col("p_type").alias("keyword")),
+        "authors.csv": sup.select(F.col("s_suppkey").alias("article_id"), F.col("s_name").alias("fullname")),
+        "papers_final.csv": part.select(F.col("p_partkey").alias("article_id"), key.alias("citekey"),
+                                        F.col("p_name").alias("title"), F.col("p_brand").alias("journal")),
+        "unique_references.csv": sup.select(F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("citekey"),
+                                            F.col("s_name").alias("title")),
+        "paragraphs.csv": part.select(key.alias("para_id"), F.col("p_partkey").alias("article_id")),
+        "sentences.csv": part.select(key.alias("sentence_id"), key.alias("para_id"), F.col("p_name").alias("sentence")),
+        "citations.csv": part.select(key.alias("sentence_id"), key.alias("reference_citekey")),
+        "entities.csv": part.select(key.alias("sentence_id"), F.lit("TOPIC").alias("label"), F.inline(F.array(*paths))),
+    }
+    return {name: df.select(*[(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+                              for f in SOURCES[name].fields]) for name, df in own.items()}
+
+
+@query("incremental_load", """
+WITH paths AS (
+  SELECT p_type AS path FROM part
+  UNION SELECT p_type || '/' || p_brand FROM part
+  UNION SELECT p_type || '/' || p_brand || '/' || split_part(p_name, ' ', 1) FROM part
+  UNION SELECT CASE WHEN p_size % 5 = 0 THEN p_brand || '/' || split_part(p_name, ' ', 1)
+                    ELSE split_part(p_name, ' ', 1) END FROM part),
+nodes AS (SELECT string_split(path, '/') AS n FROM paths),
+starts AS (SELECT n, unnest(range(1, len(n) + 1)) AS i FROM nodes),
+pairs AS (SELECT n[i] AS a, n[j] AS b, j - i AS depth, i = 1 AS root
+          FROM (SELECT n, i, unnest(range(i, len(n) + 1)) AS j FROM starts)),
+merged AS (SELECT a, b, min(depth) AS depth, bool_or(root) AS root FROM pairs GROUP BY a, b),
+names AS (SELECT p_type AS e FROM part UNION SELECT p_brand FROM part UNION SELECT split_part(p_name, ' ', 1) FROM part),
+facts AS (SELECT p_partkey, p_type AS e FROM part UNION SELECT p_partkey, p_brand FROM part
+          UNION SELECT p_partkey, split_part(p_name, ' ', 1) FROM part)
+SELECT 'pair' AS kind, a, b, CAST(depth AS INTEGER) AS depth, root,
+       b NOT IN (SELECT a FROM merged WHERE a <> b) AS leaf, CAST(NULL AS BIGINT) AS n FROM merged
+UNION ALL SELECT 'rows', 'dim_entity', NULL, NULL, NULL, NULL, count(*) + 1 FROM names
+UNION ALL SELECT 'rows', 'map_entity_hierarchy', NULL, NULL, NULL, NULL, count(*) FROM merged
+UNION ALL SELECT 'rows', 'fact_entity_detection', NULL, NULL, NULL, NULL, count(*) FROM facts
+UNION ALL SELECT 'rows', 'dim_sentence', NULL, NULL, NULL, NULL, count(*) + 1 FROM part
+UNION ALL SELECT 'rows', 'dim_paper', NULL, NULL, NULL, NULL, (SELECT count(*) FROM part) + count(*) + 1 FROM supplier
+UNION ALL SELECT 'rows', 'aggregation_paper', NULL, NULL, NULL, NULL, (SELECT count(*) FROM part) + count(*) + 1 FROM supplier
+""")
+def incremental_load(spark: SparkSession, sf: str) -> DataFrame:
+    from .plans.full_load import load_to_path
+    from .session import scratch_path
+    root = scratch_path(spark, "incremental")
+    for second in (False, True):
+        load_to_path(spark, _part_sources(spark, sf, second), root)
+    read = lambda name: spark.read.parquet(f"{root}/{name}")
+    names = read("dim_entity").select("entity_pk", "entity_name")
+    pairs = read("map_entity_hierarchy") \
+        .join(names.withColumnsRenamed({"entity_pk": "parent_entity_pk", "entity_name": "a"}), "parent_entity_pk") \
+        .join(names.withColumnsRenamed({"entity_pk": "child_entity_pk", "entity_name": "b"}), "child_entity_pk") \
+        .select(F.lit("pair").alias("kind"), "a", "b", F.col("depth_from_parent").alias("depth"),
+                F.col("highest_parent_flag").alias("root"), F.col("lowest_child_flag").alias("leaf"),
+                F.lit(None).cast("bigint").alias("n"))
+    none = lambda kind, name: F.lit(None).cast(kind).alias(name)
+    rows = [read(t).agg(F.count(F.lit(1)).alias("n")).select(
+        F.lit("rows").alias("kind"), F.lit(t).alias("a"), none("string", "b"), none("int", "depth"),
+        none("boolean", "root"), none("boolean", "leaf"), "n")
+        for t in ("dim_entity", "map_entity_hierarchy", "fact_entity_detection", "dim_sentence", "dim_paper",
+                  "aggregation_paper")]
+    return reduce(DataFrame.unionByName, rows, pairs)
+
+
+# ---------------------------------------------------------------------------
+# PL6 / W2: sentence ids that repeat or are missing never share a key
+# ---------------------------------------------------------------------------
+
+@query("sentence_repeated_ids", """
+SELECT coalesce(CASE WHEN o_custkey % 10 <> 0 THEN CAST(o_custkey AS VARCHAR) END, '0') AS sentence_source_id,
+       count(*) AS n_rows, count(*) AS n_keys
+FROM orders GROUP BY 1
+""")
+def sentence_repeated_ids(spark: SparkSession, sf: str) -> DataFrame:
+    from .plans.text_units import sentence_delta, sentence_rows
+    o = load(spark, sf, "orders")
+    sents = o.select(F.when(F.col("o_custkey") % 10 != 0, F.col("o_custkey").cast("string")).alias("sentence_id"),
+                     F.lit("p").alias("para_id"),
+                     F.concat_ws(" ", "o_orderpriority", F.col("o_orderkey").cast("string")).alias("sentence"),
+                     F.lit("BODY").alias("sentence_type"))
+    no_citations = o.select(F.col("o_orderstatus").alias("sentence_id"), F.col("o_orderstatus").alias("reference_citekey"))
+    papers = o.select(F.col("o_orderpriority").alias("citekey"), F.col("o_orderkey").alias("paper_pk"))
+    paras = o.select(F.col("o_orderstatus").alias("para_source_id"), F.col("o_orderkey").alias("paragraph_pk"))
+    out = sentence_delta(sentence_rows(sents, no_citations, papers, paras), None)["dim_sentence"]
+    return out.filter("sentence_pk > 0").groupBy("sentence_source_id").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("sentence_pk").alias("n_keys"))
+
+
+# ---------------------------------------------------------------------------
+# CSV bound by name, numbers written as decimals
+# ---------------------------------------------------------------------------
+
+@query("csv_by_name", """
+SELECT o_orderkey AS article_id, CAST(year(o_orderdate) AS INTEGER) AS year,
+       CASE WHEN o_custkey % 9 <> 0 THEN o_orderpriority END AS keyword FROM orders
+""")
+def csv_by_name(spark: SparkSession, sf: str) -> DataFrame:
+    from pyspark.sql import types as T
+    from .functions import numbers as nu
+    from .session import scratch_path
+    from .sources.files import read_csv
+    path = scratch_path(spark, "csv")
+    load(spark, sf, "orders").select(
+        F.concat(F.year("o_orderdate").cast("string"), F.lit(".0")).alias("year"),
+        F.lit("unused").alias("note"),
+        F.when(F.col("o_custkey") % 9 != 0, F.col("o_orderpriority")).otherwise("NA").alias("keyword"),
+        F.concat(F.col("o_orderkey").cast("string"), F.lit(".00")).alias("article_id"),
+    ).write.option("header", True).csv(path)
+    schema = T.StructType([T.StructField("article_id", T.LongType()), T.StructField("keyword", T.StringType()),
+                           T.StructField("year", T.StringType())])
+    return read_csv(spark, path, schema).select("article_id", nu.try_int("year").alias("year"), "keyword")

@@ -339,8 +339,7 @@ def author_string_parse(spark: SparkSession, sf: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 def _supplier_refs(spark: SparkSession, sf: str) -> DataFrame:
-    s = load(spark, sf, "supplier").join(load(spark, sf, "part"),
-                                         F.col("s_suppkey") == F.col("p_partkey"))
+    s = load(spark, sf, "part").join(load(spark, sf, "supplier"), F.col("s_suppkey") == F.col("p_partkey"), "left")
     w1 = F.split_part("p_name", F.lit(" "), F.lit(1))
     w2 = F.split_part("p_name", F.lit(" "), F.lit(2))
     first = F.when(F.col("s_nationkey") % 3 == 0,
@@ -350,7 +349,7 @@ def _supplier_refs(spark: SparkSession, sf: str) -> DataFrame:
 
 SQL_SUPPLIER_REFS = """SELECT split_part(p_name, ' ', 2) || ', ' ||
   CASE WHEN s_nationkey % 3 = 0 THEN 'Sup' || CAST(s_nationkey AS VARCHAR) ELSE split_part(p_name, ' ', 1) END AS authors
-FROM supplier JOIN part ON s_suppkey = p_partkey"""
+FROM part LEFT JOIN supplier ON s_suppkey = p_partkey"""
 
 
 def _author_merge_sql() -> str:

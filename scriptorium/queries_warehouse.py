@@ -23,10 +23,12 @@ from .queries_parsing import sql_page_count
 
 
 def _articles(spark: SparkSession, sf: str) -> DataFrame:
-    o = load(spark, sf, "orders").filter(F.col("o_orderstatus") == "F")
+    o = load(spark, sf, "orders")
+    # every eleventh customer's papers cite under a key that no reference has, every thirteenth's have none
+    prefix = F.when(F.col("o_custkey") % 13 != 0, F.when(F.col("o_custkey") % 11 == 0, F.lit("X")).otherwise(F.lit("K")))
     return o.select(
         F.col("o_orderkey").alias("article_id"), F.lit(1).alias("author_position"),
-        F.concat(F.lit("K"), F.col("o_orderkey").cast("string")).alias("citekey"),
+        F.concat(prefix, F.col("o_orderkey").cast("string")).alias("citekey"),
         F.col("o_orderpriority").alias("abstract"),
         F.year("o_orderdate").cast("string").alias("year"),
         F.concat(F.col("o_orderpriority"), F.lit(" order")).alias("title"),
@@ -37,7 +39,7 @@ def _articles(spark: SparkSession, sf: str) -> DataFrame:
 
 def _references(spark: SparkSession, sf: str) -> DataFrame:
     from .functions.numbers import page_count
-    li = load(spark, sf, "lineitem").filter(F.col("l_returnflag") == "R")
+    li = load(spark, sf, "lineitem")
     g = li.groupBy("l_orderkey").agg(
         F.year(F.min("l_shipdate")).alias("y"), F.min("l_linenumber").alias("lo"),
         F.max("l_linenumber").alias("hi"), F.min("l_suppkey").alias("s"),
@@ -57,17 +59,18 @@ _MERGED_OUT = ["article_id", "author_position", "citekey", "abstract", "year", "
 
 @query("paper_merge", f"""
 WITH art AS (
-  SELECT o_orderkey AS article_id, 1 AS author_position, 'K' || CAST(o_orderkey AS VARCHAR) AS citekey,
+  SELECT o_orderkey AS article_id, 1 AS author_position, CASE WHEN o_custkey % 13 = 0 THEN NULL
+         WHEN o_custkey % 11 = 0 THEN 'X' ELSE 'K' END || CAST(o_orderkey AS VARCHAR) AS citekey,
          o_orderpriority AS abstract, CAST(year(o_orderdate) AS VARCHAR) AS year,
          o_orderpriority || ' order' AS title,
          CASE WHEN o_custkey % 7 <> 0 THEN o_custkey % 100 END AS author_pk,
          CAST(o_custkey % 40 AS INTEGER) AS number_of_pages, o_custkey % 13 AS journal_pk,
          o_custkey % 17 AS keyword_pk
-  FROM orders WHERE o_orderstatus = 'F'),
+  FROM orders),
 ref0 AS (
   SELECT l_orderkey, year(min(l_shipdate)) AS y, min(l_linenumber) AS lo, max(l_linenumber) AS hi,
          min(l_suppkey) AS s, min(l_partkey) AS p
-  FROM lineitem WHERE l_returnflag = 'R' GROUP BY l_orderkey),
+  FROM lineitem GROUP BY l_orderkey),
 ref AS (
   SELECT 'K' || CAST(l_orderkey AS VARCHAR) AS citekey, 'ref ' || CAST(l_orderkey AS VARCHAR) AS title,
          CAST(y + CASE WHEN l_orderkey % 9 = 0 THEN -400 ELSE 0 END AS VARCHAR) AS year,
@@ -538,13 +541,13 @@ def rows_once(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("symmetric_difference", """
 WITH a AS (SELECT DISTINCT c_nationkey, c_mktsegment FROM customer WHERE c_acctbal > 5000),
-b AS (SELECT DISTINCT c_nationkey, c_mktsegment FROM customer WHERE c_acctbal < 1000)
+b AS (SELECT DISTINCT c_nationkey, c_mktsegment FROM customer WHERE c_acctbal <= 5000)
 (SELECT * FROM a EXCEPT SELECT * FROM b) UNION ALL (SELECT * FROM b EXCEPT SELECT * FROM a)
 """)
 def symmetric_difference(spark: SparkSession, sf: str) -> DataFrame:
     c = load(spark, sf, "customer")
     a = c.filter(F.col("c_acctbal") > 5000).select("c_nationkey", "c_mktsegment")
-    b = c.filter(F.col("c_acctbal") < 1000).select("c_nationkey", "c_mktsegment")
+    b = c.filter(F.col("c_acctbal") <= 5000).select("c_nationkey", "c_mktsegment")
     return dl.symmetric_difference(a, b)
 
 

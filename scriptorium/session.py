@@ -6,6 +6,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -30,6 +31,7 @@ def local_session(cores: int = 8, shuffle_partitions: int | None = None,
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cores))
         .config("spark.driver.memory", "16g")
+        .config("spark.scriptorium.textPartitions", str(cores))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
     for k, v in SCALE_CONF.items():
@@ -55,9 +57,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if sc is None:
         if conf_dir:
             return conf_dir
-        local_dir = tempfile.mkdtemp(prefix="run-", dir=os.environ.get("TMPDIR", "/tmp"))
-        spark.conf.set("spark.checkpoint.dir", local_dir)
-        return local_dir
+        raise RuntimeError("spark.checkpoint.dir is not set; a Spark Connect session needs a shared folder")
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -79,11 +79,28 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/tables/{name}-{uuid.uuid4().hex[:12]}"
 
 
+_scopes: list[list[str]] = []
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Delete the tables that ``materialize`` writes inside the block, at its end."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+            hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+
+
 def materialize(df, name: str = "stage"):
     """Cut lineage by writing a Parquet table into the shared checkpoint folder
     and reading it back. Columnar and compressed, so cheaper to write and to
     re-read than an RDD checkpoint; it survives executor loss the same way."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    if _scopes:
+        _scopes[-1].append(path)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -1,18 +1,20 @@
 """Readers and checked writers (inventory S1-S8).
 
-CSV sources are read with a fixed all-string schema (no inference pass over
-the data; dirty columns are parsed by ``functions``), then the pandas missing
-tokens become nulls. Quoted fields may hold line breaks, which makes a CSV
-unsplittable: large inputs should be converted to Parquet once.
+CSV sources are read by column name, as strings (no inference pass over the
+data; dirty columns are parsed by ``functions``), then the pandas missing tokens
+become nulls. Line breaks inside quotes make a CSV unsplittable, so they are
+opt-in: large inputs of that kind should be converted to Parquet once.
 
 Warehouse tables are Parquet folders. Appends are checked first (primary key
 inside the batch and against the table, foreign keys against parents) and a
-violating batch raises with the violating rows, instead of being dropped
+violating batch raises with all the violating rows, instead of being dropped
 silently.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,29 +37,50 @@ def normalise_missing(df: DataFrame, cols: list[str] | None = None) -> DataFrame
         for c in string_cols})
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """S1 + S8: a headered CSV with a fixed schema; quotes may span lines."""
-    df = (spark.read.schema(schema)
-          .option("header", True).option("multiLine", True)
-          .option("quote", '"').option("escape", '"')
-          .option("mode", "PERMISSIVE")
-          .csv(path))
-    return normalise_missing(df)
+def read_csv(spark: SparkSession, path: str, schema: T.StructType, multiline: bool = False) -> DataFrame:
+    """S1 + S8: a headered CSV whose columns are bound by name, in any order;
+    columns that ``schema`` doesn't name are left out, a missing one raises.
+    Numeric cells may be written as decimals (``2015.0``); a cell that holds no
+    such number becomes null, and ``rejected_cells`` counts those.
 
+    A file is read in parallel splits. ``multiline=True`` allows line breaks
+    inside quotes, at the price of one task for each file."""
+    return _typed(_raw_csv(spark, path, schema, multiline), schema)
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Scan-parallelism guard: a scan with fewer splits than the cluster has
-    cores (one large row group, a gzip file) would run its per-row work in a
-    few tasks; spread such a scan by hash of ``key`` (deterministic on retry).
-    A large input already has enough splits and is left as it is."""
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # no RDD view (Spark Connect): leave the scan as it is
-        return df
-    if splits < cores:
-        return df.repartition(cores, key)
-    return df
+
+def rejected_cells(spark: SparkSession, path: str, schema: T.StructType, multiline: bool = False) -> DataFrame:
+    """(column_name, rejected): cells that hold text but no value of their column's type."""
+    raw = _raw_csv(spark, path, schema, multiline)
+    names = [f.name for f in schema.fields]
+    both = raw.select(*[F.col(f.name).alias(f"raw_{f.name}") for f in schema.fields],
+                      *[_cell_value(F.col(f.name), f.dataType).alias(f"val_{f.name}") for f in schema.fields])
+    counts = both.agg(*[F.count_if(F.col(f"raw_{c}").isNotNull() & F.col(f"val_{c}").isNull())
+                        .cast("bigint").alias(c) for c in names])
+    return counts.unpivot([], names, "column_name", "rejected")
+
+
+def _raw_csv(spark: SparkSession, path: str, schema: T.StructType, multiline: bool) -> DataFrame:
+    reader = (spark.read.option("header", True).option("multiLine", multiline)
+              .option("quote", '"').option("escape", '"').option("mode", "PERMISSIVE"))
+    names = reader.csv(path).columns  # reads the header line only
+    missing = [f.name for f in schema.fields if f.name not in names]
+    if missing:
+        raise ValueError(f"{path}: missing columns {missing}")
+    # the header of every file of a folder must be the same
+    strings = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    raw = reader.schema(strings).option("enforceSchema", False).csv(path)
+    return normalise_missing(raw.select(*[f.name for f in schema.fields]))
+
+
+def _cell_value(cell, dtype: T.DataType):
+    if isinstance(dtype, (T.LongType, T.IntegerType, T.ShortType)):
+        # integral decimals: the digits before an all-zero fraction
+        return F.regexp_extract(cell, r"^\s*([+-]?\d+)(?:\.0*)?\s*$", 1).try_cast(dtype)
+    return cell if isinstance(dtype, T.StringType) else cell.try_cast(dtype)
+
+
+def _typed(raw: DataFrame, schema: T.StructType) -> DataFrame:
+    return raw.select(*[_cell_value(F.col(f.name), f.dataType).alias(f.name) for f in schema.fields])
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
@@ -88,21 +111,31 @@ def project(df: DataFrame, columns: dict[str, str] | list[str]) -> DataFrame:
 def check_batch(batch: DataFrame, table: str, pk: list[str],
                 existing: DataFrame | None = None,
                 fks: list[tuple[list[str], DataFrame, list[str]]] = ()) -> None:
-    """Raise ``IntegrityError`` if the batch breaks the primary key (inside
-    itself or against ``existing``), a not-null rule on the key, or a foreign key."""
+    """Raise ``IntegrityError`` (with all violating rows) if the batch breaks
+    the primary key (inside itself or against ``existing``), holds a null, or
+    breaks a foreign key."""
     keys = batch.select(*pk)
-    bad = pk_violations(keys, pk).limit(5).collect()
-    if not bad and existing is not None:
-        # batch keys already in the table: a semi join lets the (small) delta
-        # be broadcast while the large table streams, instead of re-grouping
-        # every existing key on each append
-        bad = keys.join(existing.select(*pk), pk, "left_semi").limit(5).collect()
-    if bad:
-        raise IntegrityError(table, "primary key", [r.asDict() for r in bad])
+
+    def refuse(kind: str, bad: DataFrame) -> None:
+        if not bad.isEmpty():
+            raise IntegrityError(table, kind, bad)
+
+    refuse("primary key", pk_violations(keys, pk))
+    if existing is not None and not _above(keys, existing, pk):
+        # the batch is the build side, so the large table streams past it
+        refuse("primary key", existing.select(*pk).join(keys, pk, "left_semi"))
+    has_null = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in batch.columns])
+    refuse("not null", batch.filter(has_null))
     for fk_cols, parent, parent_cols in fks:
-        orphans = fk_orphans(batch, fk_cols, parent, parent_cols).select(*fk_cols).limit(5).collect()
-        if orphans:
-            raise IntegrityError(table, f"foreign key {fk_cols}", [r.asDict() for r in orphans])
+        refuse(f"foreign key {fk_cols}", fk_orphans(batch, fk_cols, parent, parent_cols))
+
+
+def _above(keys: DataFrame, existing: DataFrame, pk: list[str]) -> bool:
+    """A single integral key whose batch lies above the table's highest key can't clash."""
+    if len(pk) > 1 or not isinstance(keys.schema[pk[0]].dataType, (T.LongType, T.IntegerType)):
+        return False
+    low, high = keys.agg(F.min(pk[0])).first()[0], existing.agg(F.max(pk[0])).first()[0]
+    return low is None or high is None or low > high
 
 
 def append(batch: DataFrame, path: str, table: str = "", pk: list[str] | None = None,

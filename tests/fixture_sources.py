@@ -91,4 +91,4 @@ def read_sources(spark, folder: str):
     from scriptorium.schemas import SOURCES
     from scriptorium.sources.files import read_csv
     paths = write_sources(folder)
-    return {name: read_csv(spark, paths[name], SOURCES[name]) for name in paths}
+    return {name: read_csv(spark, paths[name], SOURCES[name], multiline=True) for name in paths}

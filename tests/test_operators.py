@@ -107,7 +107,7 @@ def test_missing_tokens_through_csv(spark, tmp_path):
     p = tmp_path / "x.csv"
     p.write_text('a,b\nNA,"multi\nline"\n n/a ,null\n,value\n')
     schema = T.StructType([T.StructField("a", T.StringType()), T.StructField("b", T.StringType())])
-    rows = [tuple(r) for r in read_csv(spark, str(p), schema).collect()]
+    rows = [tuple(r) for r in read_csv(spark, str(p), schema, multiline=True).collect()]
     assert rows == [(None, "multi\nline"), (" n/a ", None), (None, "value")]
 
 

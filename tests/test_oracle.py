@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from scriptorium import bindings as B
 from conftest import SF_SMALL
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
@@ -42,7 +43,7 @@ def _rows(df):
     return sorted(out, key=lambda r: tuple((x is None, str(x)) for x in r))
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(B.ORACLE))
 def test_query_matches_oracle(spark, con, name):
     got = E.queries()[name](spark, SF_SMALL).toPandas()
     want = con.sql(E.oracle_sql()[name]).df()
@@ -51,7 +52,7 @@ def test_query_matches_oracle(spark, con, name):
 
 
 def test_every_query_has_an_oracle_or_is_listed():
-    no_sql = set(E.queries()) - set(E.oracle_sql())
+    no_sql = set(B.QUERIES) - set(B.ORACLE)
     assert no_sql == {"full_load"}
 
 

@@ -5,12 +5,13 @@ without joins."""
 import pytest
 
 import __spark_entry__ as E
+from scriptorium import bindings as B
 from conftest import SF_SMALL
 
 SLOW = ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin")
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(B.QUERIES))
 def test_no_slow_path(spark, name):
     plan = E.queries()[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert not [s for s in SLOW if s in plan]
