@@ -6,7 +6,9 @@ are counted over all training documents. Each language gets several centroids
 by spherical k-means over a bounded sample (SAMPLE rows in all, the same number
 from each language, chosen by a hash of the id). A text takes the language of
 the centroid with the highest cosine. It is rejected when that cosine is below
-REJECT times the first percentile of the centroid's own training cosines.
+REJECT times the first percentile of the centroid's own training cosines; for a
+text of fewer than ENOUGH different grams, which can't come near a centroid, the
+bound falls with the square root of their number.
 
 Defined cases: a text that is null or has no letter is ``und``, score 0,
 rejected; equal cosines go to the language that comes first alphabetically;
@@ -29,7 +31,7 @@ from scriptorium.llm.common import batch, held_out, slices
 
 BITS = 12
 SAMPLE, MAX_LANGS, CENTROIDS, ROUNDS = 2400, 200, 4, 8
-REJECT = 0.4
+REJECT, ENOUGH = 0.2, 200
 UNKNOWN = "und"
 _LETTERS = bytes(b if b >= 128 or 97 <= b <= 122 else 32 for b in range(256))
 
@@ -72,13 +74,15 @@ class Model:
         if not self.langs:
             return lang, score, rejected
         for start in range(0, len(texts), 256):
-            cos = vectors(texts[start:start + 256], self.idf) @ self.centroids.T
+            x = vectors(texts[start:start + 256], self.idf)
+            cos = x @ self.centroids.T
             best = cos.argmax(axis=1)
+            bound = REJECT * np.sqrt(np.minimum(1, np.count_nonzero(x, axis=1) / ENOUGH))
             for i, k in enumerate(best.tolist()):
                 if readable[start + i]:
                     lang[start + i] = self.langs[k]
                     score[start + i] = min(1.0, max(0.0, float(cos[i, k])))
-                    rejected[start + i] = cos[i, k] < REJECT * self.floors[k]
+                    rejected[start + i] = cos[i, k] < bound[i] * self.floors[k]
         return lang, score, rejected
 
 
@@ -123,12 +127,18 @@ def fit(docs: DataFrame, sample: int = SAMPLE, centroids: int = CENTROIDS) -> Mo
     train = docs.where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
     df, total = _document_frequencies(train)
     idf = np.log((1 + total) / (1 + df)).astype(np.float32) + np.float32(0.1)
-    langs = sorted(r["lang"] for r in train.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect())
-    if not langs:
+    counts = {r["lang"]: r["count"] for r in train.groupBy("lang").count()
+              .orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()}
+    if not counts:
         return Model([], np.empty((0, len(idf)), np.float32), np.empty(0), idf)
-    place = Window.partitionBy("lang").orderBy(F.xxhash64(F.col("doc_id")), "doc_id")
-    chosen = train.where(F.col("lang").isin(langs)).select("doc_id", "lang") \
-        .withColumn("n", F.row_number().over(place)).where(F.col("n") <= max(4, sample // len(langs))).drop("n")
+    each = max(4, sample // len(counts))
+    # A share of each language by a hash of the id, about four times what is needed, so that no
+    # language's rows meet in one task; then the first ones by another hash.
+    share = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, 4.0 * each / n))])
+    place = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    chosen = train.where(F.col("lang").isin(list(counts))).select("doc_id", "lang") \
+        .where(F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(1 << 30)) < share[F.col("lang")] * (1 << 30)) \
+        .withColumn("n", F.row_number().over(place)).where(F.col("n") <= each).drop("n")
     # `chosen` has at most `sample` narrow rows; a repeated doc_id counts once.
     rows = train.join(F.broadcast(chosen.distinct()), ["doc_id", "lang"], "left_semi") \
         .groupBy("doc_id", "lang").agg(F.min("text").alias("text"))

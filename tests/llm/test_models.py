@@ -17,7 +17,13 @@ def test_language_held_out_accuracy(spark):
     assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0) for r in got)
     held = [r for r in got if r["held_out"]]
     assert np.mean([r["lang_pred"] == truth[r["doc_id"]] for r in held]) > 0.97
-    assert all(0 <= r["score"] <= 1 for r in got) and np.mean([r["rejected"] for r in got]) < 0.01
+    assert all(0 <= r["score"] <= 1 for r in got) and np.mean([r["rejected"] for r in got]) < 0.002
+
+
+def test_language_rejects_foreign_texts_and_keeps_short_ones(spark):
+    model = language_id.fit(language_id.training_columns(table(spark, SF, "documents")))
+    _, _, rejected = model.predict(["Re.", "the that with", "漢字仮名交文" * 30, "Щекъ жюри вдов ьыъ эфхц " * 20, "1234 !!", None])
+    assert rejected.tolist() == [False, False, True, True, True, True]
 
 
 def test_language_edge_rows(spark):
