@@ -199,5 +199,32 @@ def category_pivot(spark: SparkSession, sf: str) -> DataFrame:
     return replace_unknown_member(out, "paper_pk", schema)
 
 
+@query("aggregation_paper", _category_pivot_sql())
+def aggregation_paper(spark: SparkSession, sf: str) -> DataFrame:
+    """PL9, J8, J9, C7 on warehouse tables: the documents' detections are stored as fact, entity,
+    sentence and paragraph tables with surrogate keys first, and the summary is built from those."""
+    from .functions.weights import CATEGORY_RULES
+    from .operators.keys import dense_keys, number_rows
+    from .plans import paper_summary as ps
+    from .schemas import TABLES
+    docs = load(spark, sf, "documents")
+    dets = an.detections(docs)
+    para = number_rows(an.lines(docs).select("doc_id", "line_no", "heading"), ["doc_id", "line_no"], "paragraph_pk")
+    sent = number_rows(an.sentences(docs).select(*an.SENTENCE_KEY, "sentence_type",
+                                                 F.col("sentence").alias("sentence_string")),
+                       an.SENTENCE_KEY, "sentence_pk").join(para.drop("heading"), ["doc_id", "line_no"])
+    ent = dense_keys(dets, ["entity_label", "entity_name"], "entity_pk")
+    fact = dets.join(ent, ["entity_label", "entity_name"]).join(sent, an.SENTENCE_KEY) \
+        .select("entity_pk", "sentence_pk", "entity_count")
+    own = {"paper_pk": F.col("doc_id") + 1, "citekey": F.concat_ws("/", "source", F.col("doc_id").cast("string")),
+           "article_source_id": F.col("doc_id")}
+    papers = docs.select(*[own.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name)
+                           for f in TABLES["dim_paper"].fields])
+    out = ps.aggregation_paper(fact, ent, sent, para.withColumns(
+        {"paper_pk": F.col("doc_id") + 1, "paragraph_type": F.lit("BODY")}), papers)
+    return out.select("paper_pk", *_PAPER_COLS, *[r.column for r in CATEGORY_RULES],
+                      *[c for _, _, c, _, _ in ps.NUMBER_COLUMNS])
+
+
 # the remaining queries register themselves on import
 from . import queries_load, queries_modes, queries_parsing, queries_warehouse  # noqa: E402,F401
