@@ -13,17 +13,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from scriptorium.llm import decontaminate, language_id, pii, sentencepiece_wfst, simhash
-from scriptorium.llm.common import table
+from scriptorium.llm.common import small_batches, table
 from scriptorium.session import ensure_checkpoint_dir, materialize
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that language identification (6) doesn't reject, unchanged."""
+    small_batches(spark)
     return language_id.accepted(docs)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash group (7), the one with the smallest doc_id, unchanged."""
+    small_batches(spark)
     ensure_checkpoint_dir(spark)
     return simhash.keep_first(docs)
 
@@ -31,16 +33,19 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def remove_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without benchmark passages (3): hit spans are cut out, documents that are
     mostly benchmark go; clean documents are unchanged."""
+    small_batches(spark)
     return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with personal data (10) replaced by the kind in brackets."""
+    small_batches(spark)
     return pii.redacted(docs)
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with their piece ids (1), token count, and whether they decode to the text."""
+    small_batches(spark)
     return sentencepiece_wfst.encode_column(spark, docs)
 
 

@@ -26,6 +26,14 @@ def texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Data
                      F.col(text_col).cast("string").alias("text"))
 
 
+def small_batches(spark: SparkSession, rows: int = 500) -> None:
+    """Rows of whole texts go to Python in batches of this many, not 10,000: a batch is held by the
+    JVM and by the worker at once. A setting that the session's owner has chosen is left alone."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name, "10000") == "10000":
+        spark.conf.set(name, str(rows))
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Cut lineage: a reliable checkpoint in the session's shared folder."""
     ensure_checkpoint_dir(df.sparkSession)

@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 from scriptorium.llm.common import batch, replaced, texts
 
 WINDOW = 10
-BLOCK_WORDS = 1_000_000
+BLOCK_WORDS = 200_000
 MAX_COVERAGE = 0.5
 
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")

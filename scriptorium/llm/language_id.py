@@ -172,7 +172,7 @@ def predictions(docs: DataFrame, model: Model, text_col: str = "text") -> DataFr
     shared = docs.sparkSession.sparkContext.broadcast(model)  # at most MAX_LANGS * CENTROIDS vectors
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, text_col, 8 << 20):
+        for b in slices(batches, text_col, 2 << 20):
             lang, score, rejected = shared.value.predict(b.column(text_col).to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [*b.columns, pa.array(lang, pa.string()), pa.array(score), pa.array(rejected)],
@@ -193,7 +193,7 @@ def accepted(docs: DataFrame) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(fit(training_columns(docs)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, "text", 8 << 20):
+        for b in slices(batches, "text", 2 << 20):
             yield b.filter(pa.array(~shared.value.predict(b.column("text").to_pylist())[2]))
 
     return docs.mapInArrow(run, docs.schema)

@@ -8,11 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from scriptorium.llm import (decontaminate, fingerprints, language_id, pii, quality_fm, sentencepiece_wfst, sharding,
                              simhash, substring_dedup, url_filter)
-from scriptorium.llm.common import table
+from scriptorium.llm.common import small_batches, table
 
 
 def _on(op: Callable, *names: str) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, sf_dir: op(spark, *[table(spark, sf_dir, n) for n in names])
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        small_batches(spark)
+        return op(spark, *[table(spark, sf_dir, n) for n in names])
+    return run
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
