@@ -17,6 +17,7 @@ ROMAN_PATTERN = r"^M{0,4}(CM|CD|D?C{0,3})(XC|XL|L?X{0,3})(IX|IV|V?I{0,3})$"
 # fixed values: letter values of Roman numerals
 ROMAN_VALUES = {"M": 1000, "D": 500, "C": 100, "L": 50, "X": 10, "V": 5, "I": 1}
 
+# fixed values: words that count as numbers
 INT_WORD_PATTERN = r"^[0-9]+([,.][0-9]{3})*$"
 FLOAT_WORD_PATTERN = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 

@@ -48,6 +48,7 @@ def split_words_flat(arr: ColumnOrName) -> Column:
 def clean_name(c: ColumnOrName) -> Column:
     """Remove digits, ``&word`` entities, ``@word`` tags, ``'| '``, then the
     characters ``; ( ) . |``, then surrounding whitespace."""
+    # fixed values: the patterns that are removed, in this order
     x = F.regexp_replace(_c(c), "[0-9]+", "")
     x = F.regexp_replace(x, r"(?U)&\w+", "")
     x = F.regexp_replace(x, r"(?U)@\w+", "")

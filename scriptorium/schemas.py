@@ -14,6 +14,7 @@ def _st(*cols) -> T.StructType:
     return T.StructType([T.StructField(n, t, True) for n, t in cols])
 
 
+# fixed values: column names and types of the sources and of the warehouse
 # --- sources (dirty columns are strings, parsed by functions.*) -------------
 SOURCES: dict[str, T.StructType] = {
     "keywords.csv": _st(("article_id", L), ("keyword", S)),
