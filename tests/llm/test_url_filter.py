@@ -22,7 +22,7 @@ def brute(url):
 
 
 def pages(spark, urls):
-    return spark.createDataFrame([(i, u, "h", "v", 1) for i, u in enumerate(urls)],
+    return spark.createDataFrame([(i, u, "h" if u else None, None, 1) for i, u in enumerate(urls)],
                                  "page_id long, url string, html string, verdict string, template int")
 
 
@@ -50,3 +50,15 @@ def test_empty_table_and_native_plan(spark):
     assert op.op5(spark, empty).count() == 0
     plan = op.op5(spark, pages(spark, URLS))._jdf.queryExecution().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
+
+
+def test_null_ids_and_repeated_rows(spark):
+    rows = spark.createDataFrame([(None, "x://a.net/es/1"), (None, None), (5, "x://a.org/en/1"), (5, "x://a.org/en/1")],
+                                 "page_id long, url string")
+    got = sorted((str(r["page_id"]), r["host"], r["rule"]) for r in op.op5(spark, rows).collect())
+    assert got == [("5", "a.org", None), ("5", "a.org", None), ("None", "", None), ("None", "a.net", "net/es/")]
+
+
+def test_long_and_unlabelled_urls(spark):
+    urls = ["x://a.org/" + "seg/" * 5000, "x://a.org/" + "9" * 100_000, "x://b.org/en/1"]
+    assert {r["verdict"] for r in op.op5(spark, pages(spark, urls)).collect()} == {"allow"}
