@@ -8,7 +8,9 @@ from each language, chosen by a hash of the id). A text takes the language of
 the centroid with the highest cosine. It is rejected when that cosine is below
 REJECT times the first percentile of the centroid's own training cosines; for a
 text of fewer than ENOUGH different grams, which can't come near a centroid, the
-bound falls with the square root of their number.
+bound falls with the square root of their number. Random letters come nearer to a
+centroid the same way, the more different grams they have, so the bound stays
+above them; REJECT lies between planted foreign texts and held-out ones (README).
 
 Defined cases: a text that is null or has no letter is ``und``, score 0,
 rejected; equal cosines go to the language that comes first alphabetically;
@@ -31,7 +33,7 @@ from scriptorium.llm.common import batch, held_out, slices
 
 BITS = 12
 SAMPLE, MAX_LANGS, CENTROIDS, ROUNDS = 2400, 200, 4, 8
-REJECT, ENOUGH = 0.2, 200
+REJECT, ENOUGH = 0.5, 1250
 UNKNOWN = "und"
 _LETTERS = bytes(b if b >= 128 or 97 <= b <= 122 else 32 for b in range(256))
 

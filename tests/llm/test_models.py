@@ -1,3 +1,6 @@
+import base64
+import random
+import string
 import zlib
 
 import numpy as np
@@ -26,6 +29,30 @@ def test_language_rejects_foreign_texts_and_keeps_short_ones(spark):
     assert rejected.tolist() == [False, False, True, True, True, True]
 
 
+POLISH = (
+    "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i "
+    "sumieniem i powinni postępować wobec innych w duchu braterstwa. Każdy człowiek posiada wszystkie prawa i wolności "
+    "zawarte w niniejszej deklaracji bez względu na różnice rasy, koloru, płci, języka, wyznania. ")
+FINNISH = (
+    "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto, "
+    "ja heidän on toimittava toisiaan kohtaan veljeyden hengessä. Jokainen on oikeutettu kaikkiin tässä julistuksessa "
+    "esitettyihin oikeuksiin ja vapauksiin ilman minkäänlaista rotuun, väriin, sukupuoleen perustuvaa erotusta. ")
+
+
+def test_language_rejects_latin_gibberish_and_keeps_clean_texts(spark):
+    docs = table(spark, SF, "documents")
+    model = language_id.fit(language_id.training_columns(docs))
+    r = random.Random(5)
+    words = lambda n, letters: " ".join("".join(r.choice(letters) for _ in range(r.randint(2, 10))) for _ in range(n))
+    foreign = [words(n, letters) for n in (100, 400, 2000, 20_000)
+               for letters in (string.ascii_lowercase, string.ascii_letters, "abcdefghijklmnopqrstuvwxyzéäöüßñç")]
+    foreign += [base64.b64encode(r.randbytes(n)).decode() for n in (600, 3000, 15_000)] + [POLISH * 3, FINNISH * 3]
+    assert model.predict(foreign)[2].all()
+    held = [x["text"] for x in docs.where(language_id.held_out(docs["doc_id"])).collect()]
+    assert len(held) > 100 and not model.predict(held)[2].any()
+    assert not model.predict([" ".join(t.split()[:n]) for t in held for n in (5, 20, 60) if len(t.split()) >= n])[2].any()
+
+
 def test_language_edge_rows(spark):
     got = language_id.op6(spark, edge_docs(spark)).collect()
     assert len(got) == len(edge_rows())
