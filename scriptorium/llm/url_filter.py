@@ -8,7 +8,9 @@
    become the wildcard ``*``. Deeper levels than DEPTH fold into ``**``.
 3. Each template has counts of blocked and labelled pages. A branch is compared
    with its parent (its last literal made a wildcard) by a two-proportion z
-   test; branches that don't differ are merged into the parent's counts.
+   test; branches that don't differ are merged into the parent's counts. That
+   takes labelled pages in the branch and in its siblings: a branch without any
+   is scored by the same template on other hosts (4).
 4. The purity of a template is its blocked share, smoothed by the same template
    over the site (the host's last two labels), that one by the template over all
    hosts, and that one by the overall share. Templates at REJECT or more are
@@ -94,11 +96,11 @@ def template_purity(nodes: DataFrame) -> DataFrame:
     rb, rn = ub - b, un - n  # the siblings
     p = ub / un
     spread = F.sqrt(p * (1 - p) * (1 / n + 1 / rn))
-    differs = F.when((n > 0) & (rn > 0), F.abs(b / n - rb / rn) > Z * spread).otherwise(F.lit(False))
+    similar = F.when((n > 0) & (rn > 0), F.abs(b / n - rb / rn) <= Z * spread).otherwise(F.lit(False))
     smooth = lambda blocked, labelled, prior: (blocked + SMOOTH * prior) / (labelled + SMOOTH)
     over_all = smooth(F.col("all_blocked"), F.col("all_labelled"), base)
     over_site = smooth(F.col("site_blocked"), F.col("site_labelled"), over_all)
-    own = F.when(differs, smooth(b, n, over_site)).otherwise(smooth(ub, un, over_site))
+    own = F.when(similar, smooth(ub, un, over_site)).otherwise(smooth(b, n, over_site))
     return joined.select("host", "template", own.alias("purity"))
 
 

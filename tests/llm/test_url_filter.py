@@ -62,3 +62,11 @@ def test_null_ids_and_repeated_rows(spark):
 def test_long_and_unlabelled_urls(spark):
     urls = ["x://a.org/" + "seg/" * 5000, "x://a.org/" + "9" * 100_000, "x://b.org/en/1"]
     assert {r["verdict"] for r in op.op5(spark, pages(spark, urls)).collect()} == {"allow"}
+
+
+def test_unlabelled_section_beside_blocked_ones(spark):
+    for size in (2, 40):
+        urls = [f"x://s{k % 2}.net/{lang}/{k}" for k in range(2 * size) for lang in ("es", "fr", "de")] \
+            + [f"x://s{k % 2}.com/de/{k}" for k in range(20)] + [f"x://s{k % 2}.org/{lang}/{k}" for k in range(20) for lang in ("fr", "de")]
+        got = {r["page_id"]: r["verdict"] for r in op.op5(spark, pages(spark, urls)).collect()}
+        assert [got[i] for i in range(len(urls))] == ["allow" if "/de/" in u else "block" for u in urls], size
