@@ -3,7 +3,9 @@
 For each kind a pattern proposes spans, leftmost and non-overlapping. A
 validator confirms or refuses a proposal: address parts up to 255, the Luhn sum
 of a card, the digit count of a phone number, the mod-97 remainder of an IBAN.
-A refused proposal is dropped without a retry inside it. Confirmed proposals
+A refused proposal is dropped without a retry inside it; only IBANs are tried at
+each place where one can start, with the length that the country has (IBAN_LENGTHS;
+a country without a listed length takes all that follows). Confirmed proposals
 of the four base kinds always stay. Weak kinds (national phone and id numbers,
 which have no checksum) start at a low score, and words such as "call" or
 "passport" within CONTEXT_CHARS before the span, or the kind's own checksum,
@@ -41,9 +43,18 @@ _DOMAIN = re.compile(r"@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+_IBAN_START = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}")
+_ANY_IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
 _LOCAL_PHONE = re.compile(r"(?<![0-9A-Za-z+])(?:\([0-9]{3}\)\x20?|[0-9]{3}[-.\x20])[0-9]{3}[-.\x20][0-9]{4}(?![0-9A-Za-z])")
 _NATIONAL_ID = re.compile(r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])")
+# Characters of an IBAN by country: the registry, then countries that use the format without being in it.
+IBAN_LENGTHS = {k[:2]: int(k[2:]) for k in (
+    "AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BI27 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DJ27 DK18 DO28 EE20 EG29 "
+    "ES24 FI18 FK18 FO18 FR27 GB22 GE22 GI23 GL18 GR27 GT28 HN28 HR21 HU28 IE22 IL23 IQ23 IS26 IT27 JO30 KW30 KZ20 "
+    "LB28 LC32 LI21 LT20 LU20 LV21 LY25 MC27 MD24 ME22 MK19 MN20 MR27 MT31 MU30 NI28 NL18 NO15 OM23 PK24 PL28 PS29 "
+    "PT25 QA29 RO24 RS22 RU33 SA24 SC31 SD18 SE24 SI19 SK24 SM27 SO23 ST25 SV28 TL23 TN24 TR26 UA29 VA22 VG24 XK20 YE30 "
+    "AO25 BF28 BJ28 CF27 CG27 CI28 CM27 CV25 DZ26 GA27 GQ27 GW25 IR26 KM27 MA28 MG27 ML28 MZ25 NE28 SN28 TD27 TG28").split()}
+_IBAN = {n: re.compile(r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){%d}(?![A-Za-z0-9])" % (n - 4)) for n in set(IBAN_LENGTHS.values())}
 _DIGIT = re.compile(r"[0-9]")
 _CONTEXT = {
     "local_phone": re.compile(r"(?i)\b(?:phone|tel|telephone|mobile|cell|call|fax|contact|whatsapp)\b"),
@@ -88,6 +99,18 @@ def _emails(text: str) -> Iterator[tuple[int, int]]:
         at = text.find("@", max(at + 1, done))
 
 
+def _ibans(text: str) -> Iterator[re.Match]:
+    at = 0
+    while start := _IBAN_START.search(text, at):
+        length = IBAN_LENGTHS.get(start.group()[:2])
+        m = (_IBAN[length] if length else _ANY_IBAN).match(text, start.start())
+        if m and mod97(m.group()):
+            yield m
+            at = m.end()
+        else:
+            at = start.end()
+
+
 def base_spans(text: str) -> list[Span]:
     out: list[Span] = [("email", s, e) for s, e in _emails(text)] if "@" in text else []
     if not _DIGIT.search(text):
@@ -111,14 +134,12 @@ def added_spans(text: str, base: list[Span], threshold: float = THRESHOLD) -> li
         return []
     taken = sorted((s, e) for _, s, e in base)
     out = []
-    for kind, pattern in (("iban", _IBAN), ("local_phone", _LOCAL_PHONE), ("national_id", _NATIONAL_ID)):
-        for m in pattern.finditer(text):
+    for kind, found in (("iban", _ibans(text)), ("local_phone", _LOCAL_PHONE.finditer(text)),
+                        ("national_id", _NATIONAL_ID.finditer(text))):
+        for m in found:
             s, e = m.span()
             score = _START[kind]
-            if kind == "iban":
-                if not mod97(m.group()):
-                    continue
-            elif _CONTEXT[kind].search(text, max(0, s - CONTEXT_CHARS), s):
+            if kind in _CONTEXT and _CONTEXT[kind].search(text, max(0, s - CONTEXT_CHARS), s):
                 score += _RAISE
             if score >= threshold and not any(a < e and s < b for a, b in taken):
                 out.append((kind, s, e, round(score, 2)))

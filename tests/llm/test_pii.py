@@ -47,6 +47,20 @@ def test_added_kinds_need_checksum_or_context():
     assert op.find("row 078-05-1120")[1] == []
 
 
+def test_iban_followed_by_capitals_or_digits():
+    for iban in ("DE89370400440532013000", "DE89 3704 0044 0532 0130 00", "GB29 NWBK 6016 1331 9268 19", "NO9386011117947"):
+        for after in ("", " BIC COBADEFFXXX", " 500 EUR", " I paid", ".", " " + iban):
+            for before in ("", "AB12 ", "DE89 ", "ref 7 "):
+                want = [("iban", len(before), len(before + iban))]
+                if after.endswith(iban):
+                    want.append(("iban", len(before + iban) + 1, len(before + iban + after)))
+                got = [x for x in op.find(before + iban + after)[1] if x[0] == "iban"]
+                assert got == want, before + iban + after
+    assert op.redact("to DE89370400440532013000 BIC COBADEFFXXX") == "to [IBAN] BIC COBADEFFXXX"
+    for wrong in ("DE88370400440532013000 500 EUR", "DE893704004405320130007", "xDE89370400440532013000"):
+        assert op.find(wrong)[1] == []
+
+
 def test_redact():
     assert op.redact("to é a@b.co, 1.2.3.4!") == "to é [EMAIL], [IP]!"
     assert op.redact(None) is None and op.redact("clean") == "clean"
