@@ -3,9 +3,11 @@
 1. A url is cut into host and path, and the listed rules (longest fitting one
    wins) label what they fit.
 2. Per host, the path segments are generalised level by level: under one
-   parent a segment stays literal if it isn't a number and takes at least
-   MIN_SHARE of the parent's pages (two pages at least); all other segments
-   become the wildcard ``*``. Deeper levels than DEPTH fold into ``**``.
+   parent a segment stays literal if it isn't a number and repeats: two pages
+   at least, and the parent's segments (numbers apart) have REPEATS pages each
+   on average, or the segment has FREQUENT pages, or MIN_SHARE of the parent's.
+   All other segments become the wildcard ``*``. Deeper levels than DEPTH, or
+   than the deepest rule, fold into ``**``: labels can't differ there.
 3. Each template has counts of blocked and labelled pages. A branch is compared
    with its parent (its last literal made a wildcard) by a two-proportion z
    test; branches that don't differ are merged into the parent's counts. That
@@ -36,7 +38,8 @@ from scriptorium.session import materialize
 # The rules of the contract, as (verdict, host, path).
 RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
          ("block", "net", "/es/"), ("block", "net", "/fr/")]
-DEPTH, MIN_SHARE, Z, SMOOTH, REJECT = 3, 0.05, 1.96, 4.0, 0.5
+DEPTH, REPEATS, FREQUENT, MIN_SHARE = 3, 2, 8, 0.05
+Z, SMOOTH, REJECT = 1.96, 4.0, 0.5
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -66,9 +69,12 @@ def with_templates(pages: DataFrame, depth: int = DEPTH, min_share: float = MIN_
     for level in range(depth):
         rows = rows.withColumn("seg", F.get("segs", F.lit(level)))
         counts = rows.where("seg IS NOT NULL").groupBy("host", "template", "seg").agg(F.count("*").alias("n"))
-        totals = counts.groupBy("host", "template").agg(F.sum("n").alias("total"))
-        literal = counts.where(~F.col("seg").rlike(r"^[0-9]+(\.[A-Za-z]+)?$")).join(totals, ["host", "template"]) \
-            .where((F.col("n") >= 2) & (F.col("n") >= min_share * F.col("total"))) \
+        named = ~F.col("seg").rlike(r"^[0-9]+(\.[A-Za-z]+)?$")
+        totals = counts.groupBy("host", "template").agg(
+            F.sum("n").alias("total"), F.sum(F.when(named, F.col("n"))).alias("named"), F.count_if(named).alias("values"))
+        literal = counts.where(named & (F.col("n") >= 2)).join(totals, ["host", "template"]) \
+            .where((F.col("named") >= REPEATS * F.col("values")) | (F.col("n") >= FREQUENT)
+                   | (F.col("n") >= min_share * F.col("total"))) \
             .select("host", "template", "seg", F.lit(True).alias("literal"))
         rows = rows.join(literal, ["host", "template", "seg"], "left").withColumn(
             "template", F.when(F.col("seg").isNull(), F.col("template")).otherwise(
@@ -111,7 +117,8 @@ def judge(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES, id_col: s
     rule, verdict = rule_columns(F.col("host"), F.col("path"), rules)
     narrow = pages.select(F.col(id_col).alias("page_id"), host.alias("host"), path.alias("path")) \
         .withColumns({"rule": rule, "known": verdict})
-    rows = materialize(with_templates(narrow), "pages")
+    deepest = max((len([s for s in p.split("/") if s]) for _, _, p in rules), default=0)
+    rows = materialize(with_templates(narrow, max(DEPTH, deepest)), "pages")
     nodes = rows.groupBy("host", "template").agg(
         F.sum(F.when(F.col("known") == "block", 1).otherwise(0)).alias("blocked"), F.count("known").alias("labelled"))
     purity = template_purity(materialize(nodes, "nodes"))

@@ -70,3 +70,26 @@ def test_unlabelled_section_beside_blocked_ones(spark):
             + [f"x://s{k % 2}.com/de/{k}" for k in range(20)] + [f"x://s{k % 2}.org/{lang}/{k}" for k in range(20) for lang in ("fr", "de")]
         got = {r["page_id"]: r["verdict"] for r in op.op5(spark, pages(spark, urls)).collect()}
         assert [got[i] for i in range(len(urls))] == ["allow" if "/de/" in u else "block" for u in urls], size
+
+
+def test_sections_of_a_large_host_keep_their_templates(spark):
+    labelled = [f"x://s{k % 2}.{top}/{lang}/{k}" for k in range(20) for top, lang in (("net", "es"), ("com", "de"))]
+    sections = ["es", "de", *(f"part{j}" for j in range(28))]
+    large = [f"x://big.org/{s}/{k}" for s in sections for k in range(6)]
+    mixed = [f"x://mix.org/{s}/{k}" for s in ("es", "de") for k in range(9)] + [f"x://mix.org/slug{k}x/{k}" for k in range(300)]
+    urls = labelled + large + mixed
+    got = {r["page_id"]: r for r in op.op5(spark, pages(spark, urls)).collect()}
+    for i, u in enumerate(urls):
+        section = u.split("/")[3]
+        assert got[i]["template"] == ("/*/*" if section.startswith("slug") else f"/{section}/*"), u
+        if section in ("es", "de"):
+            assert got[i]["verdict"] == ("block" if section == "es" else "allow"), u
+
+
+def test_templates_reach_as_deep_as_the_rules(spark):
+    rules = [("block", "net", "/a/b/c/d/bad/"), ("allow", "com", "/")]
+    urls = [f"x://s{k % 2}.{top}/a/b/c/d/{end}/{k}" for k in range(20)
+            for top, end in (("net", "bad"), ("com", "good"), ("org", "bad"), ("org", "good"), ("net", "good"))]
+    got = {r["page_id"]: r for r in op.judge(pages(spark, urls), rules).collect()}
+    for i, u in enumerate(urls):
+        assert got[i]["verdict"] == ("block" if "/bad/" in u else "allow"), u
