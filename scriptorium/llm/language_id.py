@@ -2,9 +2,11 @@
 
 A text's vector holds the TF-IDF weights of its hashed byte n-grams (letters
 lower-cased, everything else a gap), scaled to length 1. Document frequencies
-are counted over all training documents. Each language gets several centroids
-by spherical k-means over a bounded sample (SAMPLE rows in all, the same number
-from each language, chosen by a hash of the id). A text takes the language of
+are counted over all training documents. Each language, however many there are,
+gets up to CENTROIDS centroids (fewer when all would be more than MAX_CENTROIDS,
+one at least) by spherical k-means in a task of its own, over a bounded sample
+(the same number of rows from each language: its part of SAMPLE, LEAST at least;
+chosen by a hash of the id). A text takes the language of
 the centroid with the highest cosine. It is rejected when that cosine is below
 REJECT times the first percentile of the centroid's own training cosines; for a
 text of fewer than ENOUGH different grams, which can't come near a centroid, the
@@ -14,8 +16,8 @@ above them; REJECT lies between planted foreign texts and held-out ones (README)
 
 Defined cases: a text that is null or has no letter is ``und``, score 0,
 rejected; equal cosines go to the language that comes first alphabetically;
-with no labelled training row every text is ``und``. At most MAX_LANGS
-languages are learned, the most frequent ones. Very long texts are read whole.
+with no labelled training row every text is ``und``. Very long texts are read
+whole.
 """
 
 from __future__ import annotations
@@ -32,7 +34,7 @@ from pyspark.sql import types as T
 from scriptorium.llm.common import batch, held_out, slices
 
 BITS = 12
-SAMPLE, MAX_LANGS, CENTROIDS, ROUNDS = 2400, 200, 4, 8
+SAMPLE, LEAST, CENTROIDS, MAX_CENTROIDS, ROUNDS = 2400, 40, 4, 800, 8
 REJECT, ENOUGH = 0.5, 1250
 UNKNOWN = "und"
 _LETTERS = bytes(b if b >= 128 or 97 <= b <= 122 else 32 for b in range(256))
@@ -129,19 +131,20 @@ def fit(docs: DataFrame, sample: int = SAMPLE, centroids: int = CENTROIDS) -> Mo
     train = docs.where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
     df, total = _document_frequencies(train)
     idf = np.log((1 + total) / (1 + df)).astype(np.float32) + np.float32(0.1)
-    counts = {r["lang"]: r["count"] for r in train.groupBy("lang").count()
-              .orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()}
+    counts = train.groupBy("lang").count().collect()  # one narrow row for each language
     if not counts:
         return Model([], np.empty((0, len(idf)), np.float32), np.empty(0), idf)
-    each = max(4, sample // len(counts))
+    each = max(LEAST, sample // len(counts))
+    most = max(1, min(centroids, MAX_CENTROIDS // len(counts)))
     # A share of each language by a hash of the id, about four times what is needed, so that no
     # language's rows meet in one task; then the first ones by another hash.
-    share = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, 4.0 * each / n))])
+    shares = docs.sparkSession.createDataFrame([(r["lang"], min(1.0, 4.0 * each / r["count"])) for r in counts],
+                                               "lang string, share double")
     place = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = train.where(F.col("lang").isin(list(counts))).select("doc_id", "lang") \
-        .where(F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(1 << 30)) < share[F.col("lang")] * (1 << 30)) \
-        .withColumn("n", F.row_number().over(place)).where(F.col("n") <= each).drop("n")
-    # `chosen` has at most `sample` narrow rows; a repeated doc_id counts once.
+    chosen = train.join(F.broadcast(shares), "lang") \
+        .where(F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(1 << 30)) < F.col("share") * (1 << 30)) \
+        .select("doc_id", "lang").withColumn("n", F.row_number().over(place)).where(F.col("n") <= each).drop("n")
+    # `chosen` has at most `each` narrow rows a language; a repeated doc_id counts once.
     rows = train.join(F.broadcast(chosen.distinct()), ["doc_id", "lang"], "left_semi") \
         .groupBy("doc_id", "lang").agg(F.min("text").alias("text"))
 
@@ -153,25 +156,25 @@ def fit(docs: DataFrame, sample: int = SAMPLE, centroids: int = CENTROIDS) -> Mo
                 yield batch(schema, {"lang": b.column("lang").slice(i, 256),
                                      "v": [v.tobytes() for v in vectors(t[i:i + 256], idf).astype(np.float16)]})
 
-    held: dict[str, list[np.ndarray]] = {}
-    for r in rows.select("text", "lang").mapInArrow(run, "lang string, v binary").collect():
-        held.setdefault(r["lang"], []).append(np.frombuffer(r["v"], np.float16))
-    names, cents, floors = [], [], []
-    for lang in sorted(held):
-        x = np.stack(sorted(held[lang], key=bytes)).astype(np.float32)
-        c, label = spherical_kmeans(x, centroids)
+    def learn(rows: pa.Table) -> pa.Table:
+        x = np.stack(sorted((np.frombuffer(v, np.float16) for v in rows.column("v").to_pylist()), key=bytes)).astype(np.float32)
+        c, label = spherical_kmeans(x, most)
         cos = (x @ c.T).max(axis=1)
-        for j in range(len(c)):
-            names.append(lang)
-            cents.append(c[j])
-            floors.append(float(np.percentile(cos[label == j], 1)) if (label == j).any() else float(cos.min()))
-    return Model(names, np.stack(cents), np.array(floors), idf)
+        floors = [float(np.percentile(cos[label == j], 1)) if (label == j).any() else float(cos.min()) for j in range(len(c))]
+        return pa.table([rows.column("lang").slice(0, 1).to_pylist() * len(c), list(range(len(c))), [v.tobytes() for v in c], floors],
+                        schema=pa.schema([("lang", pa.string()), ("place", pa.int32()), ("centroid", pa.binary()), ("floor", pa.float64())]))
+
+    found = rows.select("text", "lang").mapInArrow(run, "lang string, v binary").groupBy("lang") \
+        .applyInArrow(learn, "lang string, place int, centroid binary, floor double").collect()
+    found.sort(key=lambda r: (r["lang"], r["place"]))
+    return Model([r["lang"] for r in found], np.stack([np.frombuffer(r["centroid"], np.float32) for r in found]),
+                 np.array([r["floor"] for r in found]), idf)
 
 
 def predictions(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """All columns of docs, then lang_pred, score, rejected (columns of those names are replaced)."""
     docs = docs.drop("lang_pred", "score", "rejected")
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # at most MAX_LANGS * CENTROIDS vectors
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # MAX_CENTROIDS vectors, or one a language
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, text_col, 2 << 20):

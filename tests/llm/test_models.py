@@ -53,6 +53,21 @@ def test_language_rejects_latin_gibberish_and_keeps_clean_texts(spark):
     assert not model.predict([" ".join(t.split()[:n]) for t in held for n in (5, 20, 60) if len(t.split()) >= n])[2].any()
 
 
+def test_every_language_is_learned(spark):
+    r, rows = random.Random(8), []
+    for lang in range(230):
+        words = ["".join(r.choice(string.ascii_lowercase) for _ in range(r.randint(2, 8))) for _ in range(40)]
+        rows += [(12 * lang + k, " ".join(r.choice(words) for _ in range(80)), f"l{lang:03}") for k in range(12 - lang // 100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert len(set(language_id.fit(docs).langs)) == 230
+    got = {x["doc_id"]: x for x in language_id.op6(spark, docs).collect()}
+    assert len(got) == len(rows)
+    for wanted in (True, False):
+        held = [(got[i], lang) for i, _, lang in rows if got[i]["held_out"] == wanted]
+        assert np.mean([x["lang_pred"] == lang for x, lang in held]) > 0.98
+        assert np.mean([x["rejected"] for x, _ in held]) < 0.01
+
+
 def test_language_edge_rows(spark):
     got = language_id.op6(spark, edge_docs(spark)).collect()
     assert len(got) == len(edge_rows())
