@@ -8,8 +8,8 @@ each place where one can start, with the length that the country has (IBAN_LENGT
 a country without a listed length takes all that follows). Confirmed proposals
 of the four base kinds always stay. Weak kinds (national phone and id numbers,
 which have no checksum) start at a low score, and words such as "call" or
-"passport" within CONTEXT_CHARS before the span, or the kind's own checksum,
-raise it; they are kept from THRESHOLD on, and only where no span of a base
+"passport" within CONTEXT_CHARS before or after the span, or the kind's own
+checksum, raise it; they are kept from THRESHOLD on, and only where no span of a base
 kind overlaps.
 
 Each pattern starts only where a maximal run of its first character class
@@ -128,6 +128,14 @@ def base_spans(text: str) -> list[Span]:
     return out
 
 
+def _near(words: re.Pattern, text: str, s: int, e: int) -> bool:
+    """A whole word within CONTEXT_CHARS before or after the span."""
+    if words.search(text, max(0, s - CONTEXT_CHARS), s):
+        return True
+    after = words.search(text, e, e + CONTEXT_CHARS + 1)  # one more character shows whether a word ends there
+    return bool(after) and after.end() <= e + CONTEXT_CHARS
+
+
 def added_spans(text: str, base: list[Span], threshold: float = THRESHOLD) -> list[tuple[str, int, int, float]]:
     """(kind, start, end, score) of the kinds beyond the base ones."""
     if not _DIGIT.search(text):
@@ -139,7 +147,7 @@ def added_spans(text: str, base: list[Span], threshold: float = THRESHOLD) -> li
         for m in found:
             s, e = m.span()
             score = _START[kind]
-            if kind in _CONTEXT and _CONTEXT[kind].search(text, max(0, s - CONTEXT_CHARS), s):
+            if kind in _CONTEXT and _near(_CONTEXT[kind], text, s, e):
                 score += _RAISE
             if score >= threshold and not any(a < e and s < b for a, b in taken):
                 out.append((kind, s, e, round(score, 2)))

@@ -61,6 +61,15 @@ def test_iban_followed_by_capitals_or_digits():
         assert op.find(wrong)[1] == []
 
 
+def test_context_after_the_span():
+    assert op.find("555-123-4567 (cell)")[1] == [("local_phone", 0, 12)]
+    assert op.find("123-45-6789 is my SSN")[1] == [("national_id", 0, 11)]
+    gap = op.CONTEXT_CHARS - 4
+    assert op.find("555-123-4567" + " " * gap + "cell")[1] == op.find("555-123-4567" + " " * gap + "cell.")[1] != []
+    for beyond in (" " * (gap + 1) + "cell", " " * gap + "cellar", " " * gap + "cells", " part", ""):
+        assert op.find("555-123-4567" + beyond)[1] == []
+
+
 def test_redact():
     assert op.redact("to é a@b.co, 1.2.3.4!") == "to é [EMAIL], [IP]!"
     assert op.redact(None) is None and op.redact("clean") == "clean"
