@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scriptorium.llm import (decontaminate, fingerprints, grace_dedup, language_id, pii, quality_fm, sentencepiece_wfst, sharding,
+from scriptorium.llm import (decontaminate, fingerprints, grace_dedup, language_id, pii, prefix_trie, quality_fm, sentencepiece_wfst, sharding,
                              simhash, substring_dedup, url_filter)
 from scriptorium.llm.common import small_batches, table
 
@@ -30,10 +30,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_sharding": _on(sharding.op9, "documents"),
     "op10_pii": _on(pii.op10, "documents"),
     "op11_exact_dedup": _on(grace_dedup.op11, "documents"),
+    "op12_prefix_trie": _on(prefix_trie.op12, "conversations"),
 }
 
 ORACLE: dict[str, str] = {
     "op2_substring_dedup": substring_dedup.ORACLE,
     "op3_decontaminate": decontaminate.ORACLE,
     "op11_exact_dedup": grace_dedup.ORACLE,
+    "op12_prefix_trie": prefix_trie.ORACLE,
 }
