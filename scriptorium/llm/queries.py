@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from scriptorium.llm import (decontaminate, fingerprints, grace_dedup, language_id, pii, prefix_trie, quality_fm, sentencepiece_wfst, sharding,
-                             simhash, substring_dedup, url_filter)
+                             simhash, substring_dedup, url_filter, vector_codes)
 from scriptorium.llm.common import small_batches, table
 
 
@@ -31,6 +31,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_pii": _on(pii.op10, "documents"),
     "op11_exact_dedup": _on(grace_dedup.op11, "documents"),
     "op12_prefix_trie": _on(prefix_trie.op12, "conversations"),
+    "op13_vector_codes": _on(vector_codes.op13, "embeddings"),
 }
 
 ORACLE: dict[str, str] = {
@@ -38,4 +39,5 @@ ORACLE: dict[str, str] = {
     "op3_decontaminate": decontaminate.ORACLE,
     "op11_exact_dedup": grace_dedup.ORACLE,
     "op12_prefix_trie": prefix_trie.ORACLE,
+    "op13_vector_codes": vector_codes.ORACLE,
 }
