@@ -12,15 +12,17 @@ and a bundle is placed as one item. So the driver sees a number of items that
 depends on the shard count alone, whatever the table's size, and a bundle is
 too light to unbalance a shard. A group stays in one shard unless it exceeds
 the capacity of a shard in some measure (a hot group): then it is cut by a hash
-of doc_id into pieces of about 1/(shards * FINE) that are placed one by one.
+of the stored row's number (not of doc_id, which may repeat or be null) into pieces of
+about 1/(shards * FINE) that are placed one by one.
 
 Slots are numbered without sorting a shard in one task: each item's rows are
 numbered by themselves (heavy groups in pieces), and an item's slots start
 where those of the items before it in its shard end.
 
 Defined cases: a null text has size 8 and no token, and null texts are one
-group, as empty texts are another; equal dot products go to the lowest shard;
-repeated rows get slots of their own; an empty table gives no rows.
+group, as empty texts are another; a very long text is one row that may exceed a shard's share;
+equal dot products go to the lowest shard; repeated rows, and rows with equal or null ids, get
+slots of their own; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -64,7 +66,7 @@ def place(vectors: np.ndarray, shards: int) -> np.ndarray:
 def shard(docs: DataFrame, shards: int = SHARDS, fine: int = FINE) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot, grown_shard (null: the law is ``bytes``)."""
     spark = docs.sparkSession
-    rows = materialize(measured(texts(docs)), "rows")
+    rows = materialize(measured(texts(docs)).withColumn("rid", F.monotonically_increasing_id()), "rows")
     total = rows.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("size", "tokens")], F.count("*")).first()
     if not total[2]:
         return _result(rows.withColumns({"shard": F.lit(0), "slot": F.lit(0)}))
@@ -79,17 +81,17 @@ def shard(docs: DataFrame, shards: int = SHARDS, fine: int = FINE) -> DataFrame:
     # Items: bundle numbers for light groups; for heavy ones the group and a piece.
     light = F.pmod(F.col("g1"), F.lit(bundles)).cast("long")
     tagged = rows.join(F.broadcast(heavy.select("g1", "g2", "pieces")), ["g1", "g2"], "left").select(
-        "doc_id", "size", "tokens", "text_crc32", "g1", "g2",
+        "doc_id", "size", "tokens", "text_crc32", "g1", "g2", "rid",
         F.when(F.col("pieces").isNull(), light).otherwise(F.col("g1")).alias("k1"),
         F.when(F.col("pieces").isNull(), F.lit(0).cast("long")).otherwise(F.col("g2")).alias("k2"),
         F.when(F.col("pieces").isNull(), F.lit(-1).cast("long"))
-        .otherwise(F.pmod(F.xxhash64("doc_id"), F.col("pieces"))).alias("piece"))
+        .otherwise(F.pmod(F.xxhash64("rid"), F.col("pieces"))).alias("piece"))
     items = tagged.groupBy("k1", "k2", "piece").agg(
         F.sum("size").alias("bytes"), F.sum("tokens").alias("tokens"), F.count("*").alias("n")) \
         .orderBy("k1", "k2", "piece").collect()  # at most (1 + 3 + 3) * shards * fine narrow rows
     placed = _place_items(items, shards)
     starts = spark.createDataFrame(placed, "k1 long, k2 long, piece long, shard int, start long")
-    slot = Window.partitionBy("k1", "k2", "piece").orderBy("g1", "g2", "doc_id", "text_crc32")
+    slot = Window.partitionBy("k1", "k2", "piece").orderBy("g1", "g2", "doc_id", "rid")
     numbered = tagged.join(F.broadcast(starts), ["k1", "k2", "piece"]) \
         .withColumn("slot", F.col("start") + F.row_number().over(slot) - 1)
     return _result(numbered)
