@@ -239,3 +239,55 @@ def csv_by_name(spark: SparkSession, sf: str) -> DataFrame:
     schema = T.StructType([T.StructField("article_id", T.LongType()), T.StructField("keyword", T.StringType()),
                            T.StructField("year", T.StringType())])
     return read_csv(spark, path, schema).select("article_id", nu.try_int("year").alias("year"), "keyword")
+
+
+# ---------------------------------------------------------------------------
+# Cells with line breaks and quotes, cut in parallel; rejected cells
+# ---------------------------------------------------------------------------
+
+def _sql_tokens() -> str:
+    from .sources.files import MISSING_TOKENS
+    return ", ".join(f"'{t}'" for t in MISSING_TOKENS)
+
+
+@query("csv_quoted", f"""
+SELECT doc_id, CASE WHEN text NOT IN ({_sql_tokens()}) THEN text END AS text,
+       CASE WHEN source NOT IN ({_sql_tokens()}) THEN source || ' "' || lang || '"' || chr(10) || 'end' END AS note
+FROM documents
+""")
+def csv_quoted(spark: SparkSession, sf: str) -> DataFrame:
+    from pyspark.sql import types as T
+    from .session import scratch_path
+    from .sources.files import read_csv
+    path = scratch_path(spark, "csv_quoted")
+    load(spark, sf, "documents").select(
+        F.concat(F.col("source"), F.lit(' "'), F.col("lang"), F.lit('"\nend')).alias("note"), "text", "doc_id",
+    ).write.option("header", True).option("quote", '"').option("escape", '"') \
+        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()),
+                           T.StructField("note", T.StringType())])
+    return read_csv(spark, path, schema, multiline=True)
+
+
+@query("csv_rejected", """
+WITH o AS (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) + 1 AS record_no, o_totalprice,
+                  CASE WHEN o_orderkey % 7 = 0 THEN o_orderpriority WHEN o_orderkey % 11 = 0 THEN 'NA'
+                       ELSE CAST(o_custkey AS VARCHAR) || '.0' END AS year FROM orders)
+SELECT record_no, 'year' AS column_name, year AS cell FROM o WHERE o_orderkey % 7 = 0 AND o_orderkey % 5 <> 0
+UNION ALL SELECT record_no, NULL, CAST(o_orderkey AS VARCHAR) FROM o WHERE o_orderkey % 5 = 0
+""")
+def csv_rejected(spark: SparkSession, sf: str) -> DataFrame:
+    from pyspark.sql import types as T
+    from .session import scratch_path
+    from .sources.files import rejected_cells
+    path = scratch_path(spark, "csv_rejected")
+    year = F.when(F.col("o_orderkey") % 7 == 0, F.col("o_orderpriority")).when(F.col("o_orderkey") % 11 == 0, F.lit("NA")) \
+        .otherwise(F.concat(F.col("o_custkey").cast("string"), F.lit(".0")))
+    key = F.col("o_orderkey").cast("string")
+    lines = load(spark, sf, "orders").select("o_orderkey", F.when(F.col("o_orderkey") % 5 == 0, key).otherwise(
+        F.concat_ws(",", key, year, F.concat(F.lit('"clerk ""'), key, F.lit('""\n'), F.lit('second line"')))).alias("value"))
+    head = spark.range(1).select(F.lit(-1).cast("long").alias("o_orderkey"), F.lit("article_id,year,note").alias("value"))
+    lines.unionByName(head).coalesce(1).sortWithinPartitions("o_orderkey").select("value").write.text(path)
+    schema = T.StructType([T.StructField("article_id", T.LongType()), T.StructField("year", T.IntegerType()),
+                           T.StructField("note", T.StringType())])
+    return rejected_cells(spark, path, schema).select("record_no", "column_name", "cell")

@@ -180,24 +180,26 @@ def table_scan_project(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------------------
-# S3 + J8 + J9: the same nested-select SQL text on both engines
+# S3 + J8 + J9: the same SQL text on both engines, over tables passed in and with two parameters
 # ---------------------------------------------------------------------------
 
 DETECTION_SQL = """
-SELECT o_orderkey, l_linenumber, l_partkey, c_mktsegment, n_name
-FROM (SELECT o_orderkey, l_linenumber, l_partkey, c_nationkey, c_mktsegment
-      FROM (SELECT o_orderkey, o_custkey, l_linenumber, l_partkey
-            FROM lineitem li INNER JOIN orders o ON li.l_orderkey = o.o_orderkey) AS lo
-      LEFT JOIN customer c ON lo.o_custkey = c.c_custkey) AS loc
-LEFT JOIN nation n ON loc.c_nationkey = n.n_nationkey
+SELECT o.o_orderkey, l.l_linenumber, l.l_partkey, c.c_mktsegment, n.n_name
+FROM {lineitem} l
+JOIN {orders} o ON o.o_orderkey = l.l_orderkey
+LEFT JOIN {customer} c ON c.c_custkey = o.o_custkey
+LEFT JOIN {nation} n ON n.n_nationkey = c.c_nationkey
+WHERE l.l_linenumber <= :last_line OR c.c_mktsegment = :segment
 """
+DETECTION_TABLES = ("lineitem", "orders", "customer", "nation")
 
 
-@query("sql_detection_join", DETECTION_SQL)
+@query("sql_detection_join", DETECTION_SQL.format(**{t: t for t in DETECTION_TABLES})
+       .replace(":last_line", "4").replace(":segment", "'BUILDING'"))
 def sql_detection_join(spark: SparkSession, sf: str) -> DataFrame:
     from .sources.files import read_query
-    views = {t: load(spark, sf, t) for t in ("lineitem", "orders", "customer", "nation")}
-    return read_query(spark, DETECTION_SQL, views)
+    return read_query(spark, DETECTION_SQL, {t: load(spark, sf, t) for t in DETECTION_TABLES},
+                      {"last_line": 4, "segment": "BUILDING"})
 
 
 # ---------------------------------------------------------------------------

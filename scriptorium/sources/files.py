@@ -2,8 +2,9 @@
 
 CSV sources are read by column name, as strings (no inference pass over the
 data; dirty columns are parsed by ``functions``), then the pandas missing tokens
-become nulls. Line breaks inside quotes make a CSV unsplittable, so they are
-opt-in: large inputs of that kind should be converted to Parquet once.
+become nulls. Files with line breaks inside quotes are cut into records in parallel
+(``records``). Cells that hold no value of their column's type, and records with too few or too many
+cells, can be had as rows with their origin.
 
 Warehouse tables are Parquet folders. Appends are checked first (primary key
 inside the batch and against the table, foreign keys against parents) and a
@@ -20,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.integrity import IntegrityError, fk_orphans, pk_violations
+from .records import cells, header, records
 
 # fixed values: strings that pandas.read_csv (1.4) reads as missing by default
 MISSING_TOKENS = (
@@ -41,31 +43,59 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType, multiline: bo
     """S1 + S8: a headered CSV whose columns are bound by name, in any order;
     columns that ``schema`` doesn't name are left out, a missing one raises.
     Numeric cells may be written as decimals (``2015.0``); a cell that holds no
-    such number becomes null, and ``rejected_cells`` counts those.
+    such number becomes null (see ``rejected_cells``).
 
-    A file is read in parallel splits. ``multiline=True`` allows line breaks
-    inside quotes, at the price of one task for each file."""
-    return _typed(_raw_csv(spark, path, schema, multiline), schema)
+    A file is read in parallel splits. ``multiline=True`` allows line breaks inside
+    quotes, at the price of one shuffle of the lines."""
+    if not multiline:
+        return _typed(_plain_csv(spark, path, schema), schema)
+    rows, _ = _cut_csv(spark, path, schema)
+    return _typed(normalise_missing(rows.select(*[F.col("cells").getField(f.name).alias(f.name) for f in schema.fields])), schema)
 
 
-def rejected_cells(spark: SparkSession, path: str, schema: T.StructType, multiline: bool = False) -> DataFrame:
-    """(column_name, rejected): cells that hold text but no value of their column's type."""
-    raw = _raw_csv(spark, path, schema, multiline)
-    names = [f.name for f in schema.fields]
-    both = raw.select(*[F.col(f.name).alias(f"raw_{f.name}") for f in schema.fields],
-                      *[_cell_value(F.col(f.name), f.dataType).alias(f"val_{f.name}") for f in schema.fields])
-    counts = both.agg(*[F.count_if(F.col(f"raw_{c}").isNotNull() & F.col(f"val_{c}").isNull())
-                        .cast("bigint").alias(c) for c in names])
-    return counts.unpivot([], names, "column_name", "rejected")
+def rejected_cells(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """What a read of ``path`` can't use, with its origin: (file, record_no, column_name, cell).
 
+    A cell that holds text but no value of its column's type has its column's name; a record with too few or
+    too many cells has none, and ``cell`` is the record. Records are numbered in each file from 1, the header."""
+    rows, names = _cut_csv(spark, path, schema)
+    typed = [f for f in schema.fields if not isinstance(f.dataType, T.StringType)]
 
-def _raw_csv(spark: SparkSession, path: str, schema: T.StructType, multiline: bool) -> DataFrame:
-    reader = (spark.read.option("header", True).option("multiLine", multiline)
-              .option("quote", '"').option("escape", '"').option("mode", "PERMISSIVE"))
-    names = reader.csv(path).columns  # reads the header line only
+    def cell(f: T.StructField):
+        raw = F.col("cells").getField(f.name)
+        return F.when(raw.isin(*MISSING_TOKENS), F.lit(None).cast("string")).otherwise(raw)
+    bad = [F.when(cell(f).isNotNull() & _cell_value(cell(f), f.dataType).isNull(),
+                  F.struct(F.lit(f.name).alias("column_name"), cell(f).alias("cell"))) for f in typed]
+    whole = F.when(F.col("malformed").isNotNull(), F.struct(F.lit(None).cast("string").alias("column_name"), F.col("malformed").alias("cell")))
+    return rows.select("file", "record_no", F.inline(F.array_compact(F.array(whole, *bad))))
+
+
+def read_sources(spark: SparkSession, folder: str, schemas: dict[str, T.StructType],
+                 multiline: bool = True) -> tuple[dict[str, DataFrame], DataFrame]:
+    """The CSV sources of a folder by name, and the rejected cells of all of them (with a column ``source``)."""
+    folder = folder.rstrip("/")
+    sources = {n: read_csv(spark, f"{folder}/{n}", schema, multiline) for n, schema in schemas.items()}
+    rejected = [rejected_cells(spark, f"{folder}/{n}", schema).withColumn("source", F.lit(n)) for n, schema in schemas.items()]
+    return sources, reduce(DataFrame.unionByName, rejected)
+
+
+def _cut_csv(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, list[str]]:
+    rows = records(spark, path)
+    names = header(rows)
+    _require(names, schema, path)
+    return cells(rows, names), names
+
+
+def _require(names: list[str], schema: T.StructType, path: str) -> None:
     missing = [f.name for f in schema.fields if f.name not in names]
     if missing:
         raise ValueError(f"{path}: missing columns {missing}")
+
+
+def _plain_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    reader = spark.read.option("header", True).option("quote", '"').option("escape", '"').option("mode", "PERMISSIVE")
+    names = reader.csv(path).columns  # reads the header line only
+    _require(names, schema, path)
     # the header of every file of a folder must be the same
     strings = T.StructType([T.StructField(n, T.StringType()) for n in names])
     raw = reader.schema(strings).option("enforceSchema", False).csv(path)
@@ -94,11 +124,11 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
         raise
 
 
-def read_query(spark: SparkSession, sql: str, views: dict[str, DataFrame] | None = None) -> DataFrame:
-    """S3: a SELECT over registered views."""
-    for name, df in (views or {}).items():
-        df.createOrReplaceTempView(name)
-    return spark.sql(sql)
+def read_query(spark: SparkSession, sql: str, tables: dict[str, DataFrame] | None = None,
+               args: dict[str, object] | None = None) -> DataFrame:
+    """S3: a SELECT with named parameters. ``{name}`` stands for one of ``tables``, ``:name`` for one of
+    ``args``. No view is registered that the session could see, so a user's view of the same name stays."""
+    return spark.sql(sql, args=args or {}, **(tables or {}))
 
 
 def project(df: DataFrame, columns: dict[str, str] | list[str]) -> DataFrame:
