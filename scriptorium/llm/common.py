@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +34,34 @@ def small_batches(spark: SparkSession, rows: int = 500) -> None:
         spark.conf.set(name, str(rows))
 
 
+_kept: dict[object, object] = {}
+
+
+def kept(key: object, build: Callable[[], object]) -> object:
+    """A worker process keeps one compiled thing from task to task; the next stage's replaces it."""
+    if key not in _kept:
+        _kept.clear()
+        _kept[key] = build()
+    return _kept[key]
+
+
+def release() -> None:
+    """Called by stages that compile nothing, so that what an earlier stage compiled goes."""
+    _kept.clear()
+
+
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """For each name a column name that df doesn't have, whatever the case of its letters."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Cut lineage: a reliable checkpoint in the session's shared folder."""
     ensure_checkpoint_dir(df.sparkSession)

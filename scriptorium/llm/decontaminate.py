@@ -8,32 +8,39 @@ length reaches the window, the last ``window`` words are hit; the state's
 ancestor on the suffix-link path that holds the window itself names the items.
 Items of fewer words than the window count as one window of their own length.
 
-The automaton is the only thing that is broadcast. Items are cut into blocks
-of at most BLOCK_WORDS words, so its size has a fixed bound; with more than one
-block the documents are streamed against each block in turn and the hit spans
-of a document are put together afterwards.
-
-Defined cases: a null or empty text has no words and is clean; null or empty
-items are ignored; a repeated item_id names one item; repeated documents are
-judged each on their own; an empty benchmark leaves all documents clean.
+Items are cut into pieces of at most PIECE_WORDS words that overlap by a window, and
+a running sum over the pieces deals them into blocks of at most BLOCK_WORDS +
+PIECE_WORDS words, on Spark. The words of one block are all that the driver or a broadcast ever holds;
+the automaton is built in the workers, once for each block. A benchmark of one block takes one pass over
+the documents and no shuffle. With more blocks, the documents are stored once under a row key, each block is a pass of its own that
+stores what it hit (row key, spans, items), and the findings are put together by row key at the end.
+
+Spans and texts are judged in the pass that finds them, so a task runs one Python worker.
+
+Defined cases: a null or empty text has no words and is clean; very long texts are read whole, a
+slice of rows at a time; null or empty items are ignored; a repeated item_id names one
+item; repeated documents, and documents with equal or null ids, are judged each on their own;
+an item that is found twice counts once; an empty benchmark leaves all documents clean, empty documents give no
+rows; other columns, whatever their names, are returned as they came.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from scriptorium.llm.common import batch, replaced, texts
+from scriptorium.llm.common import batch, kept, replaced, slices, texts, unused
+from scriptorium.session import materialize
 
 WINDOW = 10
-BLOCK_WORDS = 200_000
+BLOCK_WORDS, PIECE_WORDS = 200_000, 4096
 MAX_COVERAGE = 0.5
 
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -146,59 +153,112 @@ class SuffixAutomaton:
         return spans, items
 
 
-def automata(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", window: int = WINDOW,
-             block_words: int = BLOCK_WORDS) -> Iterator[SuffixAutomaton]:
-    """One automaton for each block of items. Only one block is held at a time."""
-    items: dict[str, list[list[bytes]]] = {}
-    held = 0
-    rows = benchmark.select(F.col(id_col).cast("string").alias("item_id"), F.col(text_col).alias("text")) \
+def blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", window: int = WINDOW,
+           block_words: int = BLOCK_WORDS, piece_words: int = PIECE_WORDS) -> DataFrame:
+    """(block, item_id, piece array<binary>): the words of all items, in pieces dealt into blocks."""
+    step = max(1, piece_words - window + 1)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, "text"):
+            out = {"item_id": [], "piece": []}
+            for item, text in zip(b.column("item_id").to_pylist(), b.column("text").to_pylist()):
+                w = words(text)
+                for at in range(0, max(1, len(w) - window + 1), step) if w else ():
+                    out["item_id"].append(item)
+                    out["piece"].append(w[at:at + piece_words])
+            yield pa.RecordBatch.from_arrays([pa.array(out["item_id"], pa.string()),
+                                              pa.array(out["piece"], pa.list_(pa.binary()))], names=["item_id", "piece"])
+
+    items = benchmark.select(F.col(id_col).cast("string").alias("item_id"), F.col(text_col).cast("string").alias("text")) \
         .where("item_id IS NOT NULL AND text IS NOT NULL")
-    for row in rows.toLocalIterator():
-        w = words(row["text"])
-        if w:
-            if held and held + len(w) > block_words:
-                yield SuffixAutomaton(items, window)
-                items, held = {}, 0
-            items.setdefault(row["item_id"], []).append(w)
-            held += len(w)
-    if items:
-        yield SuffixAutomaton(items, window)
-
-
-def _scan_block(docs: DataFrame, automaton: SuffixAutomaton) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(automaton)
-    schema = T.StructType([*docs.schema.fields, T.StructField("_hit_spans", T.ArrayType(T.IntegerType())),
-                           T.StructField("_hit_items", T.ArrayType(T.StringType()))])
+    place = F.spark_partition_id()
+    stored = materialize(items.mapInArrow(cut, "item_id string, piece array<binary>").withColumns(
+        {"part": place, "pos": F.monotonically_increasing_id(), "n": F.size("piece").cast("long")}), "pieces")
+    sums = stored.groupBy("part").agg(F.sum("n").alias("words"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row a partition
+    starts = sums.select("part", F.coalesce(F.sum("words").over(before), F.lit(0)).alias("start"))
+    within = Window.partitionBy("part").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
+    at = F.col("start") + F.coalesce(F.sum("n").over(within), F.lit(0))
+    return stored.join(F.broadcast(starts), "part").select(F.floor(at / block_words).cast("long").alias("block"), "item_id", "piece")
+
+
+def automaton(shared) -> SuffixAutomaton:
+    """The automaton of a broadcast block (name, window, items)."""
+    name, window, items = shared.value
+    return kept(("automaton", name), lambda: SuffixAutomaton(items, window))
+
+
+def _block_items(rows: list) -> dict[str, list[list[bytes]]]:
+    items: dict[str, list[list[bytes]]] = {}
+    for r in rows:
+        items.setdefault(r["item_id"], []).append([bytes(w) for w in r["piece"]])
+    return items
+
+
+def _share(spark: SparkSession, items: dict, window: int):
+    name = hashlib.sha256(repr((window, sorted(items.items()))).encode()).digest()
+    return spark.sparkContext.broadcast((name, window, items))
+
+
+Finish = Callable[[pa.RecordBatch, list, list], pa.RecordBatch]
+
+
+def judged(docs: DataFrame, benchmark: DataFrame, finish: Finish, schema: T.StructType | str, window: int = WINDOW,
+           block_words: int = BLOCK_WORDS) -> DataFrame:
+    """docs (with a ``text`` column) through ``finish(batch, spans, items)``: for each row its merged hit
+    spans [start, end, start, end, ...] in words, and the ids of the items found."""
+    spark = docs.sparkSession
+    dealt = blocks(benchmark, window=window, block_words=block_words)
+    numbers = dealt.agg(F.max("block")).first()[0]
+
+    def scanned(b: pa.RecordBatch, fst: SuffixAutomaton) -> tuple[list, list]:
+        spans, items = [], []
+        for text in b.column("text").to_pylist():
+            s, found = fst.scan(words(text))
+            spans.append([x for pair in s for x in pair])
+            items.append([fst.items[k] for k in found])
+        return spans, items
+
+    if not numbers:  # one block, or an empty benchmark
+        shared = _share(spark, _block_items(dealt.collect()), window)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            fst = automaton(shared)
+            for b in slices(batches, "text"):
+                yield finish(b, *scanned(b, fst))
+        return docs.mapInArrow(run, schema)
+
+    key, spans, items = unused(docs, "row_key", "spans", "items")
+    stored = materialize(docs.withColumn(key, F.monotonically_increasing_id()), "documents")
+    hits = None
+    for number in range(numbers + 1):  # one block's words at a time
+        shared = _share(spark, _block_items(dealt.where(F.col("block") == number).collect()), window)
+        found = materialize(stored.select(F.col(key).alias("row_key"), "text").mapInArrow(
+            _hits(shared, scanned), "row_key long, spans array<int>, items array<string>"), "hits")
+        shared.destroy()
+        hits = found if hits is None else hits.unionByName(found)
+    merged = hits.groupBy("row_key").agg(F.flatten(F.collect_list("spans")).alias(spans),
+                                         F.array_distinct(F.flatten(F.collect_list("items"))).alias(items)) \
+        .withColumnRenamed("row_key", key)
+
+    def put_together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, "text"):
+            found = [[x or [] for x in b.column(c).to_pylist()] for c in (spans, items)]
+            yield finish(b.drop_columns([key, spans, items]), *found)
+    return stored.join(merged, key, "left").mapInArrow(put_together, schema)
+
+
+def _hits(shared, scanned):
+    schema = pa.schema([("row_key", pa.int64()), ("spans", pa.list_(pa.int32())), ("items", pa.list_(pa.string()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fst = shared.value
-        for b in batches:
-            spans, items = [], []
-            for text in b.column("text").to_pylist():
-                s, found = fst.scan(words(text))
-                spans.append([x for pair in s for x in pair])
-                items.append([fst.items[k] for k in sorted(found)])
-            yield pa.RecordBatch.from_arrays(
-                [*b.columns, pa.array(spans, pa.list_(pa.int32())), pa.array(items, pa.list_(pa.string()))],
-                names=[*b.schema.names, "_hit_spans", "_hit_items"])
-
-    return docs.mapInArrow(run, schema)
-
-
-def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
-            block_words: int = BLOCK_WORDS) -> DataFrame:
-    """docs (with a ``text`` column) and, for each, _hit_spans array<int> (start, end, start, end, ...
-    in words, merged) and _hit_items array<string>. With several blocks a document's text rides
-    along once and the blocks' findings are appended to it, so nothing is shuffled."""
-    out = None
-    for automaton in automata(benchmark, window=window, block_words=block_words):
-        part = _scan_block(docs if out is None else out.withColumnsRenamed({"_hit_spans": "_s", "_hit_items": "_i"}), automaton)
-        out = part if out is None else part.select(
-            *[F.col(c) for c in docs.columns],
-            F.concat("_s", "_hit_spans").alias("_hit_spans"), F.array_distinct(F.concat("_i", "_hit_items")).alias("_hit_items"))
-    if out is None:
-        out = docs.withColumns({"_hit_spans": F.array().cast("array<int>"), "_hit_items": F.array().cast("array<string>")})
-    return out
+        fst = automaton(shared)
+        for b in slices(batches, "text"):
+            spans, items = scanned(b, fst)
+            hit = [i for i, s in enumerate(spans) if s]
+            yield batch(schema, {"row_key": b.column("row_key").take(pa.array(hit, pa.int64())),
+                                 "spans": [spans[i] for i in hit], "items": [items[i] for i in hit]})
+    return run
 
 
 def hit_mask(n: int, spans: list[int]) -> np.ndarray:
@@ -216,20 +276,17 @@ def report(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
               ("items_sha256", pa.string()), ("contaminated", pa.bool_())]
     out_schema = pa.schema(fields)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            n_words = [len(words(t)) for t in b.column("text").to_pylist()]
-            n_hit = [int(hit_mask(n, s).sum()) if s else 0 for n, s in zip(n_words, b.column("_hit_spans").to_pylist())]
-            items = [sorted(i) for i in b.column("_hit_items").to_pylist()]
-            yield batch(out_schema, {
-                "doc_id": b.column("doc_id"), "n_words": n_words, "n_hit": n_hit,
-                "n_items": [len(i) for i in items],
-                "items_sha256": [hashlib.sha256(",".join(i).encode()).hexdigest() for i in items],
-                "contaminated": [h > 0 for h in n_hit]})
+    def finish(b: pa.RecordBatch, spans: list, found: list) -> pa.RecordBatch:
+        n_words = [len(words(t)) for t in b.column("text").to_pylist()]
+        n_hit = [int(hit_mask(n, s).sum()) if s else 0 for n, s in zip(n_words, spans)]
+        items = [sorted(set(i)) for i in found]
+        return batch(out_schema, {
+            "doc_id": b.column("doc_id"), "n_words": n_words, "n_hit": n_hit, "n_items": [len(i) for i in items],
+            "items_sha256": [hashlib.sha256(",".join(i).encode()).hexdigest() for i in items],
+            "contaminated": [h > 0 for h in n_hit]})
 
-    found = matches(texts(docs), benchmark, window, block_words)
-    return found.mapInArrow(run, "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, "
-                                 "contaminated boolean")
+    return judged(texts(docs), benchmark, finish, "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, "
+                                                  "contaminated boolean", window, block_words)
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_coverage: float = MAX_COVERAGE,
@@ -238,37 +295,37 @@ def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_cover
     inside it; a document of whose words more than max_coverage are hit goes as a whole.
     Clean documents are returned unchanged. A column n_chars follows the new text."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            kept, new = [], []
-            for i, (text, spans) in enumerate(zip(b.column("text").to_pylist(), b.column("_hit_spans").to_pylist())):
-                if not spans:
-                    kept.append(i)
-                    new.append(text)
-                    continue
-                raw = text.encode("utf-8", "replace")
-                at = [m.span() for m in WORD.finditer(raw.translate(_LOWER))]
-                hit = hit_mask(len(at), spans)
-                if hit.sum() > max_coverage * len(at):
-                    continue
-                edges = np.flatnonzero(np.diff(np.concatenate([[False], hit, [False]]).astype(np.int8)))
-                out, done = [], 0
-                for s, e in zip(edges[0::2].tolist(), edges[1::2].tolist()):
-                    out.append(raw[done:at[s][0]])
-                    done = at[e - 1][1]
-                out.append(raw[done:])
+    def finish(b: pa.RecordBatch, spans: list, found: list) -> pa.RecordBatch:
+        kept, new = [], []
+        for i, (text, s) in enumerate(zip(b.column("text").to_pylist(), spans)):
+            cut = without(text, s, max_coverage) if s else text
+            if cut is not None or text is None:
                 kept.append(i)
-                new.append(b"".join(out).decode())
-            rows = b.take(pa.array(kept, pa.int64())).drop_columns(["_hit_spans", "_hit_items"])
-            values = {"text": new}
-            if "n_chars" in rows.schema.names:
-                was = rows.column("n_chars").to_pylist()
-                old = b.column("text").take(pa.array(kept, pa.int64())).to_pylist()
-                values["n_chars"] = [w if t is None or t == o else len(t) for w, t, o in zip(was, new, old)]
-            yield replaced(rows, values)
-
-    inside = docs.drop("_hit_spans", "_hit_items")
-    return matches(inside, benchmark, window, block_words).mapInArrow(run, inside.schema)
+                new.append(cut)
+        rows = b.take(pa.array(kept, pa.int64()))
+        values = {"text": new}
+        if "n_chars" in rows.schema.names:
+            values["n_chars"] = [w if t is None or t == o else len(t) for w, t, o in
+                                 zip(rows.column("n_chars").to_pylist(), new, rows.column("text").to_pylist())]
+        return replaced(rows, values)
+
+    return judged(docs, benchmark, finish, docs.schema, window, block_words)
+
+
+def without(text: str, spans: list[int], max_coverage: float) -> str | None:
+    """The text without its hit spans; None if they cover more than max_coverage of its words."""
+    raw = text.encode("utf-8", "replace")
+    at = [m.span() for m in WORD.finditer(raw.translate(_LOWER))]
+    hit = hit_mask(len(at), spans)
+    if hit.sum() > max_coverage * len(at):
+        return None
+    edges = np.flatnonzero(np.diff(np.concatenate([[False], hit, [False]]).astype(np.int8)))
+    out, done = [], 0
+    for s, e in zip(edges[0::2].tolist(), edges[1::2].tolist()):
+        out.append(raw[done:at[s][0]])
+        done = at[e - 1][1]
+    out.append(raw[done:])
+    return b"".join(out).decode()
 
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))

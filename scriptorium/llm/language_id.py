@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from scriptorium.llm.common import batch, held_out, slices
+from scriptorium.llm.common import batch, held_out, release, slices
 
 BITS = 12
 SAMPLE, LEAST, CENTROIDS, MAX_CENTROIDS, ROUNDS = 2400, 40, 4, 800, 8
@@ -198,6 +198,7 @@ def accepted(docs: DataFrame) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(fit(training_columns(docs)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for b in slices(batches, "text", 2 << 20):
             yield b.filter(pa.array(~shared.value.predict(b.column("text").to_pylist())[2]))
 

@@ -29,7 +29,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from scriptorium.llm.common import batch, replaced, texts
+from scriptorium.llm.common import batch, release, replaced, slices, texts
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 ADDED_KINDS = ("iban", "local_phone", "national_id")
@@ -185,7 +185,8 @@ def report(docs: DataFrame) -> DataFrame:
                         ("base_sha256", pa.string()), ("spans", pa.string())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        release()
+        for b in slices(batches, "text"):
             found = [find(t) for t in b.column("text").to_pylist()]
             yield batch(schema, {
                 "doc_id": b.column("doc_id"),
@@ -201,7 +202,8 @@ def redacted(docs: DataFrame) -> DataFrame:
     """docs with personal data replaced in ``text``; a column n_chars follows the new text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        release()
+        for b in slices(batches, "text"):
             old = b.column("text").to_pylist()
             new = [redact(t) for t in old]
             values = {"text": new}

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from scriptorium.llm.common import replaced, slices, texts
+from scriptorium.llm.common import kept, replaced, slices, texts
 
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MODEL_BYTES = 64 << 20  # the largest model that is broadcast
@@ -49,7 +49,7 @@ _NONE: dict[int, bool] = {}
 class Transducer:
     """The compiled machines of one model."""
 
-    CACHE, CACHED_CHARS = 320_000, 48
+    CACHE_BYTES, CACHED_CHARS, PAIRS = 24 << 20, 48, 400_000
 
     def __init__(self, model: bytes) -> None:
         from sentencepiece import sentencepiece_model_pb2
@@ -121,7 +121,7 @@ class Transducer:
 
     def accepts(self, a: int, b: int) -> bool:
         """The grammar's arc from piece a to piece b has a finite weight."""
-        if self.pairs > 5 * self.CACHE:
+        if self.pairs > self.PAIRS:
             self.apart.clear()
             self.pairs = 0
         x, y = self.piece[a], self.piece[b]
@@ -216,35 +216,31 @@ class Transducer:
 
 
 class _Paths(dict):
-    """Chunk -> packed ids of its shortest path, in two generations of bounded size;
+    """Chunk -> packed ids of its shortest path, in two generations of CACHE_BYTES each;
     long chunks are not kept."""
 
+    ENTRY = 180  # bytes of an entry besides its chunk and ids
+
     def __init__(self, fst: Transducer) -> None:
         super().__init__()
-        self.fst, self.old = fst, {}
+        self.fst, self.old, self.held = fst, {}, 0
 
     def __missing__(self, chunk: str) -> bytes:
         packed = self.old.get(chunk)
         if packed is None:
             packed = np.asarray(self.fst.ids(chunk), np.int32).tobytes()
         if len(chunk) <= Transducer.CACHED_CHARS:
-            if len(self) >= Transducer.CACHE:
-                self.old = dict(self)
+            self.held += self.ENTRY + 2 * len(chunk) + len(packed)
+            if self.held > Transducer.CACHE_BYTES:
+                self.old, self.held = dict(self), 0
                 self.clear()
             self[chunk] = packed
         return packed
 
 
-_compiled: dict[int, Transducer] = {}
-
-
 def transducer(model: bytes) -> Transducer:
     """The compiled model, once for each worker process."""
-    key = hash(model)
-    if key not in _compiled:
-        _compiled.clear()
-        _compiled[key] = Transducer(model)
-    return _compiled[key]
+    return kept(("transducer", hash(model)), lambda: Transducer(model))
 
 
 def read_model(path: str = DEFAULT_MODEL) -> bytes:

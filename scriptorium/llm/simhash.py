@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from scriptorium.llm.common import batch, slices, texts
+from scriptorium.llm.common import batch, release, slices, texts, unused
 from scriptorium.llm.components import smallest_reachable
 from scriptorium.session import materialize
 
@@ -73,6 +73,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     schema = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for b in slices(batches, "text", 2 << 20):
             fp = np.array([fingerprint(t, shingle) for t in b.column("text").to_pylist()], np.uint64)
             yield batch(schema, {"doc_id": b.column("doc_id"), "fp": fp.view(np.int64)})
@@ -257,11 +258,12 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """The rows of docs that stay when each group keeps its smallest doc_id; of rows that repeat
     that doc_id, the one with the smallest text hash. Rows without a doc_id stay: no id names them."""
     found = near_duplicates(texts(docs, id_col, text_col).where("doc_id IS NOT NULL"), shingle, radius)
-    first = found.select(F.col("component_id").alias("_first")).distinct()
-    place = Window.partitionBy(F.col(id_col)).orderBy(F.xxhash64(F.col(text_col)))
-    kept = docs.join(first, docs[id_col].cast("long") == first["_first"], "left_semi") \
-        .withColumn("_n", F.row_number().over(place)).where("_n = 1").drop("_n")
-    return kept.unionByName(docs.where(F.col(id_col).isNull()))
+    first, n = unused(docs, "first", "n")
+    firsts = found.select(F.col("component_id").alias(first)).distinct()
+    place = Window.partitionBy(docs[id_col]).orderBy(F.xxhash64(docs[text_col]))
+    kept = docs.join(firsts, docs[id_col].cast("long") == firsts[first], "left_semi") \
+        .withColumn(n, F.row_number().over(place)).where(F.col(n) == 1).drop(n)
+    return kept.unionByName(docs.where(docs[id_col].isNull()))
 
 
 def op7(spark: SparkSession, docs: DataFrame) -> DataFrame:

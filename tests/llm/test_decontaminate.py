@@ -82,3 +82,27 @@ def test_empty_tables(spark):
     assert op.report(empty_docs(spark), none).count() == 0
     assert op.report(edge_docs(spark), none).where("contaminated").count() == 0
     assert op.clean(edge_docs(spark), none).count() == len(edge_rows())
+
+
+def test_columns_named_like_the_operators_own(spark):
+    names = ["_hit_spans", "_hit_items", "_s", "_i", "row_key", "Spans", "items", "block"]
+    rows = [(1, prose(40, 1), *[f"{n}!" for n in names]), (2, prose(30, 80), *[f"{n}?" for n in names])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"{n} string" for n in names))
+    items = spark.createDataFrame([(1, prose(40, 1)[:60]), (2, prose(90, 81))], "item_id long, text string")
+    for block in (op.BLOCK_WORDS, 10):
+        got = op.clean(docs, items, block_words=block, max_coverage=1.0)
+        assert got.columns == docs.columns
+        assert sorted(tuple(r)[2:] for r in got.collect()) == sorted(r[2:] for r in rows)
+
+
+def test_blocks_have_a_bounded_number_of_words(spark):
+    items = spark.createDataFrame([(k, prose(20 + 300 * (k % 3), k)) for k in range(40)] + [(99, prose(5000, 99))],
+                                  "item_id long, text string").repartition(4)
+    rows = op.blocks(items, block_words=1000, piece_words=200).collect()
+    size = {}
+    for r in rows:
+        size[r["block"]] = size.get(r["block"], 0) + len(r["piece"])
+    assert max(size.values()) <= 1200 and len(size) > 8
+    docs = spark.createDataFrame([(1, "x " + prose(5000, 99)[7000:9000])], "doc_id long, text string")
+    whole = op.report(docs, items).collect()
+    assert op.report(docs, items, block_words=1000).collect() == whole and whole[0]["n_hit"] > 100

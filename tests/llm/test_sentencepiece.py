@@ -34,7 +34,7 @@ def test_runs_of_one_character(machines):
 
 def test_cache_generations_keep_results(machines, monkeypatch):
     fst, library = machines
-    monkeypatch.setattr(op.Transducer, "CACHE", 20)
+    monkeypatch.setattr(op.Transducer, "CACHE_BYTES", 4000)
     for _, text, *_ in edge_rows():
         assert fst.encode(text).tolist() == library.encode(text or "")
 

@@ -101,3 +101,11 @@ def test_keep_first(spark):
     assert sorted(map(tuple, op.keep_first(df).collect()), key=str) == sorted([rows[1], rows[3], rows[4]], key=str)
     assert op.keep_first(empty_docs(spark)).count() == 0
     assert op.keep_first(edge_docs(spark)).columns == edge_docs(spark).columns
+
+
+def test_keep_first_with_columns_named_like_its_own(spark):
+    rows = [(1, "a b c d", 1, 2, 3), (2, "a b c d", 4, 5, 6), (3, "other words here", 7, 8, 9), (None, "a b c d", 1, 1, 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _n int, `first` int, N int")
+    got = op.keep_first(docs)
+    assert got.columns == docs.columns
+    assert sorted(map(tuple, got.collect()), key=str) == sorted([rows[0], rows[2], rows[3]], key=str)
