@@ -1,7 +1,7 @@
 """Change data capture and set operators (inventory C1-C7, D4, U1-U3, J5, J6).
 
-Every delta is an anti join on the natural key: a hash/sort-merge join that
-scales, instead of the reference's "concatenate and drop all duplicates" (Q1,
+Every delta is an anti join on the hash of the natural key, which a stored table
+carries and is bucketed by, instead of the reference's "concatenate and drop all duplicates" (Q1,
 Q4) or per-row list membership.
 """
 
@@ -9,31 +9,55 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .keys import max_key, number_rows
 
 
+MATCH = "_match"  # the hash of a stored row's natural key; stored tables are bucketed by it (sources.warehouse)
+
+
+def match_hash(types: dict[str, T.DataType]) -> Column:
+    """One hash over a natural key; equal keys of these types hash alike."""
+    return F.xxhash64(*[F.col(c).cast(t) for c, t in types.items()])
+
+
+def _matched(source: DataFrame, target: DataFrame, on: list[str], null_safe: bool,
+             carry: dict[str, str] | None = None) -> tuple[DataFrame, DataFrame, Column]:
+    """Both sides with the hash of ``on`` (the target's columns as ``_t_...``, and those of ``carry`` by their new
+    names), and their join condition. The hash is the only equality that the planner sees, so each side moves
+    once, wide attributes are no sort keys, and a target that is stored in buckets of that hash doesn't
+    move at all; the attributes are compared on the rows that meet."""
+    # equal values must hash alike, so both sides hash the common (wider) type
+    common = {f.name: f.dataType for f in source.select(*on).limit(0).unionByName(target.select(*on).limit(0)).schema.fields}
+    stored = MATCH in target.columns and all(target.schema[c].dataType == t for c, t in common.items())
+    t = target.select(*[F.col(c).alias(f"_t_{c}") for c in on], *[F.col(c).alias(new) for c, new in (carry or {}).items()],
+                      (F.col(MATCH) if stored else match_hash(common)).alias("_t_match"))
+    s = source.withColumn(MATCH, match_hash(common))
+
+    def same(c: str) -> Column:  # not written as an equality, which would become a join key
+        a, b = F.col(c), F.col(f"_t_{c}")
+        equal = (a >= b) & (a <= b)
+        return F.coalesce(equal, F.lit(False)) | (a.isNull() & b.isNull()) if null_safe else equal
+    return s, t, reduce(lambda a, b: a & b, [same(c) for c in on], F.col(MATCH) == F.col("_t_match"))
+
+
 def new_rows(source: DataFrame, target: DataFrame | None, on: list[str],
              null_safe: bool = True) -> DataFrame:
     """Rows of ``source`` whose ``on`` key is not in ``target``.
-    ``null_safe`` matches null with null (pandas merge semantics, J7).
-
-    A null-safe match shuffles on one hash of the attributes and compares them
-    one by one afterwards, so each side moves once, and wide attributes are no
-    sort keys."""
+    ``null_safe`` matches null with null (pandas merge semantics, J7)."""
     if target is None:
         return source
-    t = target.select(*on)
-    if not null_safe:
-        return source.join(t, on, "left_anti")
-    # equal values must hash alike, so both sides hash the common (wider) type
-    common = source.select(*on).limit(0).unionByName(t.limit(0)).schema
-    key = F.xxhash64(*[F.col(f.name).cast(f.dataType) for f in common.fields])
-    s, t = source.withColumn("_match", key), t.withColumn("_match", key)
-    cond = reduce(lambda a, b: a & b, [s[c].eqNullSafe(t[c]) for c in on], s["_match"] == t["_match"])
-    return s.join(t, cond, "left_anti").drop("_match")
+    s, t, cond = _matched(source, target, on, null_safe)
+    return s.join(t, cond, "left_anti").drop(MATCH)
+
+
+def known_rows(source: DataFrame, target: DataFrame, on: list[str]) -> DataFrame:
+    """Rows of ``source`` whose ``on`` key (without nulls) is in ``target``."""
+    s, t, cond = _matched(source, target, on, False)
+    return s.join(t, cond, "left_semi").drop(MATCH)
 
 
 def full_row_delta(source: DataFrame, target: DataFrame | None,
@@ -76,9 +100,8 @@ def fact_delta(source: DataFrame, target: DataFrame | None, pk: list[str],
     reference would re-insert the key and lose the whole batch)."""
     if target is None:
         return source, source.filter(F.lit(False))
-    t = target.select(*pk, F.col(measure).alias("_old"))
-    new = source.join(t.select(*pk), pk, "left_anti")
-    changed = (source.join(t, pk, "inner")
-               .filter(~F.col(measure).eqNullSafe(F.col("_old")))
-               .withColumnRenamed("_old", f"previous_{measure}"))
+    s, t, cond = _matched(source, target, pk, False, {measure: f"previous_{measure}"})
+    new = s.join(t, cond, "left_anti").drop(MATCH)
+    changed = (s.join(t, cond, "inner").filter(~F.col(measure).eqNullSafe(F.col(f"previous_{measure}")))
+               .select(*source.columns, f"previous_{measure}"))
     return new, changed

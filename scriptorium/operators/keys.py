@@ -77,9 +77,11 @@ def dense_keys(df: DataFrame, key_cols: list[str], key_name: str,
 def group_numbers(df: DataFrame, key_cols: list[str], name: str,
                   offset: int = 0, num_partitions: int | None = None) -> DataFrame:
     """W1 + W3: pandas ``groupby(k).ngroup()`` (0-based rank of the sorted
-    distinct key) plus ``offset`` for every row; null keys are not grouped."""
+    distinct key) plus ``offset`` for every row; null keys are not grouped.
+    The rows are stored first, as the numbers and the result both read them."""
     valid = df
     for c in key_cols:
         valid = valid.filter(F.col(c).isNotNull())
+    valid = materialize(valid, "owners")
     keys = dense_keys(valid, key_cols, name, offset - 1, num_partitions)
     return valid.join(keys, key_cols, "inner")

@@ -170,12 +170,12 @@ UNION ALL SELECT 'rows', 'dim_paper', NULL, NULL, NULL, NULL, (SELECT count(*) F
 UNION ALL SELECT 'rows', 'aggregation_paper', NULL, NULL, NULL, NULL, (SELECT count(*) FROM part) + count(*) + 1 FROM supplier
 """)
 def incremental_load(spark: SparkSession, sf: str) -> DataFrame:
-    from .plans.full_load import load_to_path
+    from .plans.full_load import load_to_path, open_warehouse
     from .session import scratch_path
     root = scratch_path(spark, "incremental")
     for second in (False, True):
         load_to_path(spark, _part_sources(spark, sf, second), root)
-    read = lambda name: spark.read.parquet(f"{root}/{name}")
+    read = open_warehouse(spark, root).tables().__getitem__
     names = read("dim_entity").select("entity_pk", "entity_name")
     pairs = read("map_entity_hierarchy") \
         .join(names.withColumnsRenamed({"entity_pk": "parent_entity_pk", "entity_name": "a"}), "parent_entity_pk") \
@@ -192,6 +192,24 @@ def incremental_load(spark: SparkSession, sf: str) -> DataFrame:
     return reduce(DataFrame.unionByName, rows, pairs)
 
 
+@query("summary_maintained", """
+SELECT CAST(p_partkey AS VARCHAR) AS citekey, least(p_type, p_brand) AS first_topic, split_part(p_name, ' ', 1) AS topic FROM part
+UNION ALL SELECT 'S' || CAST(s_suppkey AS VARCHAR), 'MISSING', 'MISSING' FROM supplier
+UNION ALL SELECT 'MISSING', 'MISSING', 'MISSING'
+""")
+def summary_maintained(spark: SparkSession, sf: str) -> DataFrame:
+    """PL9 / C7 / A3: the second load brings each paper an entity with two votes, against one vote
+    for each stored one, so every stored winner changes."""
+    from .plans.full_load import load_to_path, open_warehouse
+    from .session import scratch_path
+    root = scratch_path(spark, "maintained")
+    for second in (False, True):
+        load_to_path(spark, _part_sources(spark, sf, second), root)
+    warehouse = open_warehouse(spark, root)
+    first = warehouse.read("aggregation_paper", 1).select("paper_pk", F.col("topic").alias("first_topic"))
+    return warehouse.read("aggregation_paper").join(first, "paper_pk").select("citekey", "first_topic", "topic")
+
+
 # ---------------------------------------------------------------------------
 # PL6 / W2: sentence ids that repeat or are missing never share a key
 # ---------------------------------------------------------------------------

@@ -53,10 +53,6 @@ def _references(spark: SparkSession, sf: str) -> DataFrame:
         F.lit(0).cast("bigint").alias("keyword_pk"), page_count(pages).alias("number_of_pages"))
 
 
-_MERGED_OUT = ["article_id", "author_position", "citekey", "abstract", "year", "title",
-               "author_pk", "no_of_pages", "journal_pk", "keyword_pk"]
-
-
 @query("paper_merge", f"""
 WITH art AS (
   SELECT o_orderkey AS article_id, 1 AS author_position, CASE WHEN o_custkey % 13 = 0 THEN NULL
@@ -111,12 +107,13 @@ def paper_merge(spark: SparkSession, sf: str) -> DataFrame:
 WITH dim_author AS (
   SELECT surname, firstname, row_number() OVER (ORDER BY surname, firstname) AS author_pk
   FROM (SELECT DISTINCT split_part(p_name, ' ', 2) AS surname, split_part(p_name, ' ', 1) AS firstname
-        FROM part WHERE p_size <= 40)),
+        FROM part)),
 dim_journal AS (
   SELECT title, volume, row_number() OVER (ORDER BY title, volume) AS journal_pk
   FROM (SELECT DISTINCT 'J' || CAST(s_nationkey AS VARCHAR) AS title, s_suppkey % 5 AS volume FROM supplier)),
 li AS (
-  SELECT l_orderkey, l_linenumber, split_part(p_name, ' ', 2) AS surname, split_part(p_name, ' ', 1) AS firstname,
+  SELECT l_orderkey, l_linenumber, CASE WHEN l_partkey % 11 = 0 THEN NULL WHEN l_partkey % 7 = 0 THEN 'x' || split_part(p_name, ' ', 2)
+         ELSE split_part(p_name, ' ', 2) END AS surname, split_part(p_name, ' ', 1) AS firstname,
          'J' || CAST(l_suppkey % 30 AS VARCHAR) AS jt, l_linenumber % 5 AS jv
   FROM lineitem JOIN part ON l_partkey = p_partkey)
 SELECT l_orderkey, l_linenumber, CAST(coalesce(a.author_pk, 0) AS BIGINT) AS author_pk,
@@ -129,14 +126,16 @@ def paper_lookup(spark: SparkSession, sf: str) -> DataFrame:
     part = load(spark, sf, "part")
     w1 = F.split_part("p_name", F.lit(" "), F.lit(1))
     w2 = F.split_part("p_name", F.lit(" "), F.lit(2))
-    names = part.filter(F.col("p_size") <= 40).select(w2.alias("surname"), w1.alias("firstname"))
+    names = part.select(w2.alias("surname"), w1.alias("firstname"))
+    # authors that the dimension doesn't have, and rows without a surname
+    foreign = F.when(F.col("l_partkey") % 11 == 0, F.lit(None)).when(F.col("l_partkey") % 7 == 0, F.concat(F.lit("x"), w2)).otherwise(w2)
     dim_author = dense_keys(names, ["surname", "firstname"], "author_pk")
     sup = load(spark, sf, "supplier").select(
         F.concat(F.lit("J"), F.col("s_nationkey").cast("string")).alias("title"),
         (F.col("s_suppkey") % 5).alias("volume"))
     dim_journal = dense_keys(sup, ["title", "volume"], "journal_pk")
     li = load(spark, sf, "lineitem").join(part, F.col("l_partkey") == F.col("p_partkey")).select(
-        "l_orderkey", "l_linenumber", w2.alias("surname"), w1.alias("firstname"),
+        "l_orderkey", "l_linenumber", foreign.alias("surname"), w1.alias("firstname"),
         F.concat(F.lit("J"), (F.col("l_suppkey") % 30).cast("string")).alias("jt"),
         (F.col("l_linenumber") % 5).alias("jv"))
     li = lookup_key(li, dim_author, ["surname", "firstname"], "author_pk")
@@ -148,63 +147,111 @@ def paper_lookup(spark: SparkSession, sf: str) -> DataFrame:
 # PL4 / W1 / W3 / M1 / M2 / M4 / D1 / D2: paper groups, bridges, owners
 # ---------------------------------------------------------------------------
 
-def _paper_rows(spark: SparkSession, sf: str) -> DataFrame:
-    o = load(spark, sf, "orders")
-    li = load(spark, sf, "lineitem")
-    j = li.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
-    return j.select(
-        F.lit(0).cast("bigint").alias("article_id"), F.col("l_linenumber").alias("author_position"),
-        F.concat(F.to_date("o_orderdate").cast("string"), F.lit("/"), F.col("o_orderpriority")).alias("citekey"),
-        F.lit("MISSING").alias("abstract"),
-        F.make_date(F.year("o_orderdate"), F.lit(1), F.lit(1)).alias("year"),
-        F.col("o_orderstatus").alias("title"), F.col("l_suppkey").alias("author_pk"),
-        F.lit(0).alias("no_of_pages"), F.lit(0).cast("bigint").alias("journal_pk"),
-        (F.col("l_partkey") % 50).alias("keyword_pk"))
-
-
-_SQL_PAPER_GROUPS = """
-rows AS (
-  SELECT CAST(0 AS BIGINT) AS article_source_id, l_linenumber AS author_position,
-         CAST(CAST(o_orderdate AS DATE) AS VARCHAR) || '/' || o_orderpriority AS citekey,
-         'MISSING' AS abstract, make_date(year(o_orderdate), 1, 1) AS year, o_orderstatus AS title,
-         l_suppkey AS author_pk, 0 AS no_of_pages, CAST(0 AS BIGINT) AS journal_pk, l_partkey % 50 AS keyword_pk
-  FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
-grp AS (SELECT citekey, CAST(row_number() OVER (ORDER BY citekey) AS BIGINT) AS g
-        FROM (SELECT DISTINCT citekey FROM rows)),
-r AS (SELECT rows.*, g FROM rows JOIN grp USING (citekey))"""
+def _paper_tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    """The tables of PL4 as a load builds them, from articles, their keywords and authors, and references,
+    over dimensions that lack some of the keywords and authors."""
+    from .plans.paper import article_parts, paper_tables, reference_parts
+    o, li, part = load(spark, sf, "orders"), load(spark, sf, "lineitem"), load(spark, sf, "part")
+    ck = F.when(F.col("o_custkey") % 13 != 0, F.concat(F.to_date("o_orderdate").cast("string"), F.lit("/"), F.col("o_orderpriority")))
+    papers = o.select(
+        F.col("o_orderkey").alias("article_id"), ck.alias("citekey"), F.lit("t ").alias("t"), "o_orderstatus",
+        F.when(F.col("o_custkey") % 5 != 0, F.col("o_orderpriority")).alias("abstract"),
+        F.year("o_orderdate").cast("string").alias("year"), (F.col("o_custkey") % 40).cast("string").alias("number_of_pages"),
+        *[F.lit(None).cast("string").alias(c) for c in ("journal", "journal_akronym", "publisher", "place", "volume", "issue",
+                                                        "keywords", "authors")]) \
+        .withColumn("title", F.concat("t", "o_orderstatus")).drop("t", "o_orderstatus")
+    keywords = li.select(F.col("l_orderkey").alias("article_id"), F.concat(F.lit("Key "), (F.col("l_partkey") % 50).cast("string")).alias("keyword"))
+    def name(number):  # names keep no digits
+        return F.concat(F.lit("Sur"), F.translate(number.cast("string"), "0123456789", "abcdefghij"))
+    authors = li.select(F.col("l_orderkey").alias("article_id"), F.col("l_linenumber").alias("author_position"),
+                        F.concat(name(F.col("l_suppkey") % 40), F.lit(", Fi")).alias("fullname"))
+    references = part.select(
+        F.concat(F.date_add(F.lit("1992-01-01").cast("date"), (F.col("p_partkey") * 7 % 3000).cast("int")).cast("string"),
+                 F.when(F.col("p_size") % 2 == 0, F.lit("/1-URGENT")).otherwise(F.lit("/none"))).alias("citekey"),
+        F.col("p_name").alias("title"), F.concat(name(F.col("p_partkey") % 45), F.lit(", Fi")).alias("authors"),
+        (F.col("p_size") + 1950).cast("string").alias("year"), F.lit("3-9").alias("pages"),
+        *[F.lit(None).cast("string").alias(c) for c in ("journal", "publisher", "place", "volume", "issue")])
+    n = spark.range(50)
+    dim_keyword = n.filter("id % 9 <> 0").select((F.col("id") + 1).alias("keyword_pk"), F.concat(F.lit("key "), F.col("id").cast("string")).alias("keyword_string"))
+    dim_author = n.filter("id % 7 <> 0").select((F.col("id") + 1).alias("author_pk"), name(F.col("id")).alias("surname"),
+                                                F.lit("Fi").alias("firstname"), F.lit("MISSING").alias("middlename"))
+    dim_journal = spark.range(1).select(F.lit(9).cast("bigint").alias("journal_pk"), *[F.lit("x").alias(c) for c in ("title", "publisher", "place")],
+                                        F.lit(1).alias("volume"), F.lit(1).alias("issue"))
+    return paper_tables(article_parts(papers, keywords, authors, dim_keyword, dim_author, dim_journal),
+                        reference_parts(references, dim_author, dim_journal), None)
+
+
+_SQL_PAPERS = """
+art AS (SELECT o_orderkey AS id, CASE WHEN o_custkey % 13 <> 0 THEN CAST(CAST(o_orderdate AS DATE) AS VARCHAR) || '/' || o_orderpriority END AS citekey,
+  CASE WHEN o_custkey % 5 <> 0 THEN o_orderpriority END AS abstract, CAST(year(o_orderdate) AS INTEGER) AS y,
+  't ' || o_orderstatus AS title, CAST(o_custkey % 40 AS INTEGER) AS np FROM orders
+  UNION ALL SELECT DISTINCT l_orderkey, NULL, NULL, NULL, NULL, NULL FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders)),
+ref AS (SELECT CAST(DATE '1992-01-01' + CAST(p_partkey * 7 % 3000 AS INTEGER) AS VARCHAR) || CASE WHEN p_size % 2 = 0 THEN '/1-URGENT' ELSE '/none' END AS citekey,
+  p_name AS title, CAST(p_size + 1950 AS INTEGER) AS y, 6 AS np, p_partkey % 45 AS au FROM part),
+merged AS (SELECT a.id, coalesce(a.citekey, r.citekey) AS ck, a.abstract, coalesce(a.y, r.y) AS y, coalesce(a.title, r.title) AS title,
+  coalesce(a.np, r.np) AS np, a.id IS NOT NULL AS own, r.citekey AS rkey FROM art a FULL JOIN ref r ON a.citekey = r.citekey),
+full_rows AS (SELECT CAST(coalesce(id, 0) AS BIGINT) AS article_source_id, coalesce(ck, 'MISSING') AS citekey, coalesce(abstract, 'MISSING') AS abstract,
+  CASE WHEN y > 1676 AND y < 2263 THEN make_date(y, 1, 1) ELSE DATE '1678-01-01' END AS year, coalesce(title, 'MISSING') AS title,
+  CASE WHEN np > 0 THEN np ELSE 0 END AS no_of_pages, CAST(0 AS BIGINT) AS journal_pk, id, own, rkey FROM merged),
+grp AS (SELECT citekey, CAST(row_number() OVER (ORDER BY citekey) AS BIGINT) AS g FROM (SELECT DISTINCT citekey FROM full_rows)),
+r AS (SELECT f.*, g FROM full_rows f JOIN grp USING (citekey)),
+kw AS (SELECT DISTINCT l_orderkey AS id, CASE WHEN l_partkey % 50 % 9 <> 0 THEN l_partkey % 50 + 1 ELSE 0 END AS keyword_pk FROM lineitem),
+au AS (SELECT DISTINCT l_orderkey AS id, l_linenumber AS pos, CASE WHEN l_suppkey % 40 % 7 <> 0 THEN l_suppkey % 40 + 1 END AS author_pk FROM lineitem),
+ref_au AS (SELECT DISTINCT citekey AS rkey, CASE WHEN au % 7 <> 0 THEN au + 1 END AS author_pk FROM ref),
+members AS (
+  SELECT g, author_pk, pos FROM r JOIN au USING (id) WHERE own AND author_pk IS NOT NULL
+  UNION ALL SELECT g, 0, 0 FROM r WHERE own AND id NOT IN (SELECT id FROM au)
+  UNION ALL SELECT g, coalesce(f.author_pk, 0), pos FROM r JOIN au USING (id) LEFT JOIN ref_au f USING (rkey) WHERE own AND au.author_pk IS NULL
+  UNION ALL SELECT g, coalesce(f.author_pk, 0), 0 FROM r LEFT JOIN ref_au f USING (rkey) WHERE NOT own)"""
+
+
+@query("paper_delta_groups_owner", "WITH " + _SQL_PAPERS.strip() + """,
+owners AS (SELECT DISTINCT article_source_id, citekey, abstract, year, title, no_of_pages, journal_pk, g FROM r)
+SELECT g AS keywordgroup_pk, g AS authorgroup_pk, journal_pk, CAST(year AS VARCHAR) AS year, title, citekey,
+       abstract, CAST(no_of_pages AS INTEGER) AS no_of_pages, article_source_id FROM owners
+UNION ALL SELECT 0, 0, 0, '1678-01-01', 'MISSING', 'MISSING', 'MISSING', 0, 0
+""")
+def paper_delta_groups_owner(spark: SparkSession, sf: str) -> DataFrame:
+    out = _paper_tables(spark, sf)["dim_paper"]
+    return out.drop("paper_pk").withColumn("year", F.col("year").cast("string"))
 
 
-@query("paper_delta_groups_owner", "WITH " + _SQL_PAPER_GROUPS.strip() + """,
+@query("paper_delta_keys", "WITH " + _SQL_PAPERS.strip() + """,
 owners AS (SELECT DISTINCT article_source_id, citekey, abstract, year, title, no_of_pages, journal_pk, g FROM r)
-SELECT CAST(row_number() OVER (ORDER BY article_source_id, citekey, abstract, year, title, no_of_pages, journal_pk, g) AS BIGINT) AS paper_pk,
-       g AS keywordgroup_pk, g AS authorgroup_pk, journal_pk, CAST(year AS VARCHAR) AS year, title, citekey,
-       abstract, CAST(no_of_pages AS INTEGER) AS no_of_pages, article_source_id
-FROM owners
-UNION ALL SELECT 0, 0, 0, 0, '1678-01-01', 'MISSING', 'MISSING', 'MISSING', 0, 0
+SELECT g AS keywordgroup_pk, count(*) AS n_papers, CAST(min(before) + 1 AS BIGINT) AS first_pk, CAST(max(before) + 1 AS BIGINT) AS last_pk
+FROM (SELECT g, row_number() OVER (ORDER BY g) - 1 AS before FROM owners) GROUP BY g
 """)
-def paper_delta_groups_owner(spark: SparkSession, sf: str) -> DataFrame:
-    from .plans.paper import paper_delta
-    out = paper_delta(_paper_rows(spark, sf), None)["dim_paper"]
-    return out.withColumn("year", F.col("year").cast("string"))
+def paper_delta_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """The papers of a group have consecutive keys, in the order of the groups."""
+    out = _paper_tables(spark, sf)["dim_paper"].filter("paper_pk > 0")
+    return out.groupBy("keywordgroup_pk").agg(F.count(F.lit(1)).alias("n_papers"), F.min("paper_pk").alias("first_pk"),
+                                              F.max("paper_pk").alias("last_pk"))
 
 
-@query("paper_delta_groups_group", "WITH " + _SQL_PAPER_GROUPS.strip() + """
-SELECT DISTINCT g AS keywordgroup_pk FROM r
-UNION ALL SELECT 0
+@query("paper_delta_groups_group", "WITH " + _SQL_PAPERS.strip() + """
+SELECT 'keyword' AS kind, g AS group_pk FROM grp UNION ALL SELECT 'author', g FROM grp
+UNION ALL SELECT 'keyword', 0 UNION ALL SELECT 'author', 0
 """)
 def paper_delta_groups_group(spark: SparkSession, sf: str) -> DataFrame:
-    from .plans.paper import paper_delta
-    return paper_delta(_paper_rows(spark, sf), None)["dim_keywordgroup"]
+    out = _paper_tables(spark, sf)
+    return out["dim_keywordgroup"].select(F.lit("keyword").alias("kind"), F.col("keywordgroup_pk").alias("group_pk")).unionByName(
+        out["dim_authorgroup"].select(F.lit("author").alias("kind"), F.col("authorgroup_pk").alias("group_pk")))
 
 
-@query("paper_delta_groups_bridge", "WITH " + _SQL_PAPER_GROUPS.strip() + """
-SELECT author_pk, g AS authorgroup_pk, CAST(min(author_position) AS INTEGER) AS author_position
-FROM r GROUP BY g, author_pk
+@query("paper_delta_groups_bridge", "WITH " + _SQL_PAPERS.strip() + """
+SELECT author_pk, g AS authorgroup_pk, CAST(min(pos) AS INTEGER) AS author_position FROM members GROUP BY g, author_pk
 UNION ALL SELECT 0, 0, 0
 """)
 def paper_delta_groups_bridge(spark: SparkSession, sf: str) -> DataFrame:
-    from .plans.paper import paper_delta
-    return paper_delta(_paper_rows(spark, sf), None)["bridge_paper_author"]
+    return _paper_tables(spark, sf)["bridge_paper_author"]
+
+
+@query("paper_delta_groups_keywords", "WITH " + _SQL_PAPERS.strip() + """
+SELECT DISTINCT coalesce(keyword_pk, 0) AS keyword_pk, g AS keywordgroup_pk FROM r LEFT JOIN kw USING (id)
+UNION ALL SELECT 0, 0
+""")
+def paper_delta_groups_keywords(spark: SparkSession, sf: str) -> DataFrame:
+    return _paper_tables(spark, sf)["bridge_paper_keyword"]
 
 
 # ---------------------------------------------------------------------------
@@ -540,15 +587,15 @@ def rows_once(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("symmetric_difference", """
-WITH a AS (SELECT DISTINCT c_nationkey, c_mktsegment FROM customer WHERE c_acctbal > 5000),
-b AS (SELECT DISTINCT c_nationkey, c_mktsegment FROM customer WHERE c_acctbal <= 5000)
+WITH a AS (SELECT DISTINCT c_nationkey, c_mktsegment, CAST(floor(c_acctbal) AS BIGINT) AS balance FROM customer WHERE c_custkey % 3 <> 0),
+b AS (SELECT DISTINCT c_nationkey, c_mktsegment, CAST(floor(c_acctbal) AS BIGINT) AS balance FROM customer WHERE c_custkey % 3 <> 1)
 (SELECT * FROM a EXCEPT SELECT * FROM b) UNION ALL (SELECT * FROM b EXCEPT SELECT * FROM a)
 """)
 def symmetric_difference(spark: SparkSession, sf: str) -> DataFrame:
-    c = load(spark, sf, "customer")
-    a = c.filter(F.col("c_acctbal") > 5000).select("c_nationkey", "c_mktsegment")
-    b = c.filter(F.col("c_acctbal") <= 5000).select("c_nationkey", "c_mktsegment")
-    return dl.symmetric_difference(a, b)
+    """Two sets of rows that share a third of the customers."""
+    c = load(spark, sf, "customer").select("c_custkey", "c_nationkey", "c_mktsegment",
+                                           F.floor("c_acctbal").cast("bigint").alias("balance"))
+    return dl.symmetric_difference(c.filter("c_custkey % 3 <> 0").drop("c_custkey"), c.filter("c_custkey % 3 <> 1").drop("c_custkey"))
 
 
 @query("union_missing_columns", """
@@ -674,12 +721,12 @@ def null_profile(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("fk_orphans", """
-SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem
-WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size <= 40)
+SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber = 7 THEN -1 - l_partkey WHEN l_suppkey % 9 <> 0 THEN l_partkey END AS l_partkey
+FROM lineitem WHERE l_linenumber = 7 OR l_suppkey % 9 = 0
 """)
 def fk_orphans(spark: SparkSession, sf: str) -> DataFrame:
     from .operators.integrity import fk_orphans as fko
-    li = load(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
-    parts = load(spark, sf, "part").filter(F.col("p_size") <= 40)
-    return fko(li, ["l_partkey"], parts, ["p_partkey"])
+    key = F.when(F.col("l_linenumber") == 7, -1 - F.col("l_partkey")).when(F.col("l_suppkey") % 9 != 0, F.col("l_partkey"))
+    li = load(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", key.alias("l_partkey"))
+    return fko(li, ["l_partkey"], load(spark, sf, "part"), ["p_partkey"])
 

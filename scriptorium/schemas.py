@@ -96,6 +96,29 @@ PRIMARY_KEYS: dict[str, list[str]] = {
     "aggregation_paper": ["paper_pk"],
 }
 
+# what makes a row new (C1-C6); stored tables are bucketed by it
+NATURAL_KEYS: dict[str, list[str]] = {
+    "dim_keyword": ["keyword_string"],
+    "dim_author": ["surname", "firstname", "middlename"],
+    "dim_journal": ["title", "volume", "issue", "publisher", "place"],
+    "dim_paper": ["article_source_id", "citekey", "abstract", "year", "title", "no_of_pages", "journal_pk"],
+    "dim_paragraph": ["para_source_id", "heading", "subheading", "paragraph_type", "paper_pk"],
+    "dim_sentence": ["sentence_source_id"],
+    "dim_entity": ["entity_name", "entity_label"],
+    "fact_entity_detection": ["entity_pk", "sentence_pk"],
+    "entity_paths": ["ent_path"],
+}
+
+# kept beside the warehouse tables: facts whose count changed (Q9), cells that a source's schema refused, the
+# hierarchy paths that were expanded, and the vote totals behind the summary
+SIDE_TABLES: dict[str, T.StructType] = {
+    "entity_paths": _st(("ent_path", S)),
+    "paper_votes": _st(("paper_pk", L), ("entity_label", S), ("entity_name", S), ("votes", L)),
+    "paper_numbers": _st(("paper_pk", L), ("entity_label", S), ("entity_name", S), ("whole", L), ("number", R), ("votes", L)),
+    "changed_facts": _st(("entity_pk", L), ("sentence_pk", L), ("entity_count", L), ("previous_entity_count", L)),
+    "rejected_cells": _st(("source", S), ("file", S), ("record_no", L), ("column_name", S), ("cell", S)),
+}
+
 # (child table, child columns, parent table, parent columns) — 19 foreign keys
 FOREIGN_KEYS: list[tuple[str, list[str], str, list[str]]] = [
     ("dim_sentence", ["citationgroup_pk"], "dim_citationgroup", ["citationgroup_pk"]),

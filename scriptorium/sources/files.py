@@ -46,9 +46,10 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType, multiline: bo
     such number becomes null (see ``rejected_cells``).
 
     A file is read in parallel splits. ``multiline=True`` allows line breaks inside
-    quotes, at the price of one shuffle of the lines."""
-    if not multiline:
-        return _typed(_plain_csv(spark, path, schema), schema)
+    quotes, at the price of one shuffle of the lines; files that are no larger than one split together are
+    read by one task each, as there is nothing to cut."""
+    if not multiline or _one_split(spark, path):
+        return _typed(_plain_csv(spark, path, schema, multiline), schema)
     rows, _ = _cut_csv(spark, path, schema)
     return _typed(normalise_missing(rows.select(*[F.col("cells").getField(f.name).alias(f.name) for f in schema.fields])), schema)
 
@@ -92,8 +93,16 @@ def _require(names: list[str], schema: T.StructType, path: str) -> None:
         raise ValueError(f"{path}: missing columns {missing}")
 
 
-def _plain_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    reader = spark.read.option("header", True).option("quote", '"').option("escape", '"').option("mode", "PERMISSIVE")
+def _one_split(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    size = where.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(where).getLength()
+    split = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    return size <= split
+
+
+def _plain_csv(spark: SparkSession, path: str, schema: T.StructType, multiline: bool = False) -> DataFrame:
+    reader = (spark.read.option("header", True).option("quote", '"').option("escape", '"')
+              .option("multiLine", multiline).option("mode", "PERMISSIVE"))
     names = reader.csv(path).columns  # reads the header line only
     _require(names, schema, path)
     # the header of every file of a folder must be the same

@@ -152,3 +152,55 @@ def test_dense_keys_with_adaptive_partitions(spark):
         assert j.filter(F.col("k") != F.col("r")).count() == 0
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+def test_lookup_with_heavy_hitters_equals_the_plain_one_and_spreads_them(spark):
+    from pyspark.sql import functions as F
+    from scriptorium.operators.lookup import lookup_key
+    from scriptorium.operators.skew import hot_keys
+    key = F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 10 == 1, F.lit(None)).when(
+        F.col("id") % 10 == 2, "unknown").otherwise(F.concat(F.lit("k"), (F.col("id") % 2000).cast("string")))
+    df = spark.range(30_000).select("id", key.alias("name"))
+    dim = spark.range(2000).select(F.concat(F.lit("k"), F.col("id").cast("string")).alias("n"), (F.col("id") + 1).alias("pk")) \
+        .unionByName(spark.createDataFrame([("hot", 7000), ("hot", 8000)], "n string, pk long"))
+    hot = hot_keys(df, ["name"])
+    assert 1 <= len(hot) <= 400
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        plain = lookup_key(df, dim, {"name": "n"}, "pk")
+        spread = lookup_key(df, dim, {"name": "n"}, "pk", hot=hot)
+        sizes = [[r["n"] for r in d.groupBy(F.spark_partition_id()).agg(F.count("id").alias("n"), F.sum("pk")).collect()]
+                 for d in (plain, spread)]
+        assert max(sizes[0]) > 10_000 and max(sizes[1]) < 0.2 * 30_000
+        assert spread.exceptAll(plain).isEmpty() and spread.count() == 30_000
+        excluded = lookup_key(df, dim, {"name": "n"}, "pk", missing_values=("hot",), hot=hot)
+        assert excluded.filter("name = 'hot' AND pk <> 0").isEmpty()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_full_join_with_hot_keys_equals_the_plain_one(spark):
+    from pyspark.sql import functions as F
+    from scriptorium.operators.lookup import full_merge
+    left = spark.range(3000).select(F.when(F.col("id") % 3 == 0, "both").when(F.col("id") % 5 == 1, "left only").when(
+        F.col("id") % 50 == 2, F.lit(None)).otherwise(F.concat(F.lit("k"), F.col("id").cast("string"))).alias("k"), "id", (F.col("id") * 2).alias("x"))
+    right = spark.range(900).select(F.when(F.col("id") % 50 == 0, "both").when(F.col("id") % 3 == 1, "right only").when(
+        F.col("id") % 60 == 2, F.lit(None)).otherwise(F.concat(F.lit("k"), F.col("id").cast("string"))).alias("k"), (F.col("id") * 5).alias("x"), "id")
+    plain = full_merge(left, right, ["k"], null_safe=False)
+    spread = full_merge(left, right, ["k"], null_safe=False, spread_hot=True)
+    assert spread.columns == plain.columns
+    assert sorted(map(tuple, spread.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        again = full_merge(left, right, ["k"], null_safe=False, spread_hot=True)
+        sizes = [r["count"] for r in again.groupBy(F.spark_partition_id()).count().collect()]
+        assert max(sizes) < 0.3 * sum(sizes)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")

@@ -44,6 +44,8 @@ def test_splits_inside_quotes(spark, tmp_path, small_splits, terminator):
     want = sorted((k, text, k) for s in range(3) for k, text, _ in some_rows(s))
     assert sorted(map(tuple, got.collect())) == want
     assert physical_lines(spark, str(tmp_path)).select("block").distinct().count() > 10
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100000000")  # now one task a file
+    assert sorted(map(tuple, read_csv(spark, str(tmp_path), SCHEMA, multiline=True).collect())) == want
 
 
 def test_rejected_records_and_cells_have_their_origin(spark, tmp_path, small_splits):
@@ -60,6 +62,7 @@ def test_rejected_records_and_cells_have_their_origin(spark, tmp_path, small_spl
 
 def test_unpaired_quotes_and_odd_headers_are_refused(spark, tmp_path):
     from scriptorium.sources.files import read_csv
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "10")
     (tmp_path / "a").mkdir()
     (tmp_path / "a" / "x.csv").write_text('id,text,n\n1,"open,1\n')
     with pytest.raises(ValueError, match="x.csv"):
@@ -74,6 +77,7 @@ def test_unpaired_quotes_and_odd_headers_are_refused(spark, tmp_path):
         read_csv(spark, str(tmp_path / "c.csv"), SCHEMA, multiline=True)
     (tmp_path / "d.csv").write_text("id,text,n\n")
     assert read_csv(spark, str(tmp_path / "d.csv"), SCHEMA, multiline=True).count() == 0
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
 def test_query_scan_leaves_a_users_view_alone(spark):
