@@ -82,6 +82,6 @@ def group_numbers(df: DataFrame, key_cols: list[str], name: str,
     valid = df
     for c in key_cols:
         valid = valid.filter(F.col(c).isNotNull())
-    valid = materialize(valid, "owners")
+    valid = materialize(valid, "owners")  # else the delta with all its joins runs twice
     keys = dense_keys(valid, key_cols, name, offset - 1, num_partitions)
     return valid.join(keys, key_cols, "inner")
