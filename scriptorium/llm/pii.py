@@ -7,23 +7,29 @@ A refused proposal is dropped without a retry inside it; only IBANs are tried at
 each place where one can start, with the length that the country has (IBAN_LENGTHS;
 a country without a listed length takes all that follows). Confirmed proposals
 of the four base kinds always stay. Weak kinds (national phone and id numbers,
-which have no checksum) start at a low score, and words such as "call" or
-"passport" within CONTEXT_CHARS before or after the span, or the kind's own
-checksum, raise it; they are kept from THRESHOLD on, and only where no span of a base
-kind overlaps.
+which have no checksum, and secrets: runs of 16 to 512 letters, digits and -_+/ that mix letters
+and digits, with the entropy of random characters) start at a low score, and words such as "call",
+"passport" or "token" within CONTEXT_CHARS before or after the span, the kind's own
+checksum, or the known beginning of a secret raise it; they are kept from THRESHOLD on, and only where no
+span of a base kind overlaps.
 
 Each pattern starts only where a maximal run of its first character class
 starts, so the time is linear in the text, also for very long runs of digits
 or letters.
 
 Defined cases: null and empty texts have no spans; offsets are code points with
-an exclusive end; repeated rows are treated each on their own.
+an exclusive end; spans of added kinds may overlap each other and are all listed, and redaction replaces
+what they cover together, under the kind that starts first (the longer, then the alphabetically first, of equal
+starts); repeated rows are treated each on their own; very long texts are read whole; an empty table gives no rows;
+other columns are returned as they came.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -32,7 +38,8 @@ from pyspark.sql import DataFrame, SparkSession
 from scriptorium.llm.common import batch, release, replaced, slices, texts
 
 BASE_KINDS = ("email", "ip", "card", "phone")
-ADDED_KINDS = ("iban", "local_phone", "national_id")
+ADDED_KINDS = ("iban", "local_phone", "national_id", "secret")
+SECRET_BITS = 3.0  # Shannon entropy a character; words and dates have less, random hex digits about 3.7
 THRESHOLD = 0.6
 CONTEXT_CHARS = 40
 
@@ -55,12 +62,17 @@ IBAN_LENGTHS = {k[:2]: int(k[2:]) for k in (
     "PT25 QA29 RO24 RS22 RU33 SA24 SC31 SD18 SE24 SI19 SK24 SM27 SO23 ST25 SV28 TL23 TN24 TR26 UA29 VA22 VG24 XK20 YE30 "
     "AO25 BF28 BJ28 CF27 CG27 CI28 CM27 CV25 DZ26 GA27 GQ27 GW25 IR26 KM27 MA28 MG27 ML28 MZ25 NE28 SN28 TD27 TG28").split()}
 _IBAN = {n: re.compile(r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){%d}(?![A-Za-z0-9])" % (n - 4)) for n in set(IBAN_LENGTHS.values())}
+_SECRET = re.compile(r"(?<![A-Za-z0-9_+/-])[A-Za-z0-9_+/-]{16,}+={0,2}")
+_SECRET_FORM = re.compile(r"AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{30,}|xox[abpr]-|sk-[A-Za-z0-9]|eyJ[A-Za-z0-9_-]{10,}")
+SECRET_LENGTHS = range(16, 513)
 _DIGIT = re.compile(r"[0-9]")
 _CONTEXT = {
     "local_phone": re.compile(r"(?i)\b(?:phone|tel|telephone|mobile|cell|call|fax|contact|whatsapp)\b"),
     "national_id": re.compile(r"(?i)\b(?:ssn|social|security|passport|id|identity|tax|insurance)\b"),
+    "secret": re.compile(r"(?i)(?:\b|_)(?:tokens?|secrets?|passwords?|passwd|pwd|api[ _-]?keys?|access[ _-]?keys?|private[ _-]?key|"
+                         r"auth|bearer|credentials?)(?:\b|_)"),
 }
-_START = {"iban": 1.0, "local_phone": 0.35, "national_id": 0.4}
+_START = {"iban": 1.0, "local_phone": 0.35, "national_id": 0.4, "secret": 0.35}
 _RAISE = 0.4
 
 Span = tuple[str, int, int]
@@ -128,6 +140,13 @@ def base_spans(text: str) -> list[Span]:
     return out
 
 
+def _random_looking(s: str) -> bool:
+    """A run of a secret's length that mixes letters and digits and has the entropy of random characters."""
+    if len(s) not in SECRET_LENGTHS or not _DIGIT.search(s) or s.replace("-", "").isdigit():
+        return False
+    return -sum(n / len(s) * math.log2(n / len(s)) for n in Counter(s).values()) >= SECRET_BITS
+
+
 def _near(words: re.Pattern, text: str, s: int, e: int) -> bool:
     """A whole word within CONTEXT_CHARS before or after the span."""
     if words.search(text, max(0, s - CONTEXT_CHARS), s):
@@ -143,12 +162,15 @@ def added_spans(text: str, base: list[Span], threshold: float = THRESHOLD) -> li
     taken = sorted((s, e) for _, s, e in base)
     out = []
     for kind, found in (("iban", _ibans(text)), ("local_phone", _LOCAL_PHONE.finditer(text)),
-                        ("national_id", _NATIONAL_ID.finditer(text))):
+                        ("national_id", _NATIONAL_ID.finditer(text)),
+                        ("secret", (m for m in _SECRET.finditer(text) if _random_looking(m.group())))):
         for m in found:
             s, e = m.span()
             score = _START[kind]
             if kind in _CONTEXT and _near(_CONTEXT[kind], text, s, e):
                 score += _RAISE
+            if kind == "secret" and _SECRET_FORM.match(m.group()):
+                score = 1.0
             if score >= threshold and not any(a < e and s < b for a, b in taken):
                 out.append((kind, s, e, round(score, 2)))
     return out
