@@ -93,3 +93,53 @@ def test_templates_reach_as_deep_as_the_rules(spark):
     got = {r["page_id"]: r for r in op.judge(pages(spark, urls), rules).collect()}
     for i, u in enumerate(urls):
         assert got[i]["verdict"] == ("block" if "/bad/" in u else "allow"), u
+
+
+def test_verdicts_follow_labels_six_levels_deep(spark):
+    urls = [f"x://s{k % 4}.net/es/a/b/c/bad/{k}" for k in range(80)] + [f"x://s{k % 4}.com/es/a/b/c/good/{k}" for k in range(80)] \
+        + [f"x://new.org/es/a/b/c/{end}/{k}" for k in range(10) for end in ("bad", "good")]
+    more = [("allow", "elsewhere.org", "/1/2/3/4/5/6/7/")]
+    for rules in (op.RULES, op.RULES + more):  # an unrelated deep rule changes nothing
+        got = {r["page_id"]: r for r in op.judge(pages(spark, urls), rules).collect()}
+        for i, u in enumerate(urls):
+            assert got[i]["template"] == "/es/a/b/c/" + ("bad" if "/bad/" in u else "good") + "/*", u
+            assert got[i]["verdict"] == ("block" if "/bad/" in u else "allow"), u
+
+
+def brute_templates(rows):
+    """Level by level over one host's list of segment lists."""
+    out = {}
+
+    def walk(ids, level, template):
+        by = {}
+        for i in ids:
+            if level < len(rows[i]):
+                by.setdefault(rows[i][level], []).append(i)
+            else:
+                out[i] = template
+        total = sum(map(len, by.values()))
+        named = {s: len(v) for s, v in by.items() if not re.fullmatch(r"[0-9]+(\.[A-Za-z]+)?", s)}
+        loose = []
+        for s, v in by.items():
+            if s in named and len(v) >= 2 and (sum(named.values()) >= op.REPEATS * len(named) or len(v) >= op.FREQUENT
+                                               or len(v) >= op.MIN_SHARE * total):
+                walk(v, level + 1, f"{template}/{s}")
+            else:
+                loose += v
+        if loose:
+            walk(loose, level + 1, template + "/*")
+
+    walk(range(len(rows)), 0, "")
+    return [out[i] for i in range(len(rows))]
+
+
+def test_templates_equal_a_walk_of_the_tree(spark):
+    import random
+    rnd = random.Random(5)
+    paths = [[rnd.choice(["a", "b", "c", "7", f"u{rnd.randrange(40)}", "x"]) for _ in range(rnd.randrange(9))] for _ in range(400)]
+    paths += [["deep"] * 300 + [str(k), "end"] for k in range(3)] + [[f"{k}-{j}" for j in range(300)] for k in range(2)]
+    urls = [f"x://h{i % 2}.org/" + "/".join(p) for i, p in enumerate(paths)]
+    got = {r["page_id"]: r["template"] for r in op.judge(pages(spark, urls)).collect()}
+    for h in (0, 1):
+        ids = list(range(h, len(paths), 2))
+        assert [got[i] for i in ids] == brute_templates([paths[i] for i in ids])
