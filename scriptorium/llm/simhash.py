@@ -22,9 +22,12 @@ Links go out as (fingerprint, smallest linked fingerprint seen), and components
 are found by distributed rounds (components.py).
 
 Defined cases: a null, empty or blank text has fingerprint zero; fewer words
-than the shingle make one shingle; a null doc_id is returned with its fingerprint
-and a component that it doesn't name (null if it is alone); repeated rows are
-returned as often as they come.
+than the shingle make one shingle; a bit set in exactly half of the hashes is 0;
+very long texts are read whole, their hashes counted in pieces; a null doc_id is
+returned with its fingerprint and a component that it doesn't name (null if it is
+alone); repeated rows are returned as often as they come; an empty table gives no
+rows; extra columns, whatever their names, aren't read by op7 and pass keep_first
+unchanged.
 """
 
 from __future__ import annotations
@@ -44,6 +47,7 @@ from scriptorium.session import materialize
 
 SHINGLE, RADIUS, SEED = 3, 2, 42
 DENSE = 1024
+HELD = 1 << 18  # fingerprints that a task gathers before it judges the complete buckets among them
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
@@ -208,10 +212,10 @@ def _compare(radius: int, dense: int):
                 yield batch(schema, {"a": f[differ].view(np.int64), "b": low[differ].view(np.int64)})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held_t, held_f, held = [], [], 0
+        held_t, held_f, held, limit = [], [], 0, HELD
         for b in batches:
             t, f = b.column("t").to_numpy(), b.column("fp").to_numpy().view(np.uint64)
-            if held and held + len(f) > 1 << 18:
+            if held and held + len(f) > limit:
                 # Judge all complete buckets; the last one may go on in this batch.
                 tt, ff = np.concatenate(held_t), np.concatenate(held_f)
                 mask = np.array([masks[k] for k in range(len(masks))], np.uint64)[tt]
@@ -221,6 +225,7 @@ def _compare(radius: int, dense: int):
                     yield from links(tt[:cut], ff[:cut])
                 held_t, held_f = [tt[cut:]], [ff[cut:]]
                 held = len(tt) - cut
+                limit = max(HELD, 2 * held)  # a bucket that goes on is copied a few times, not for every batch
             held_t.append(t)
             held_f.append(f)
             held += len(f)

@@ -109,3 +109,43 @@ def test_keep_first_with_columns_named_like_its_own(spark):
     got = op.keep_first(docs)
     assert got.columns == docs.columns
     assert sorted(map(tuple, got.collect()), key=str) == sorted([rows[0], rows[2], rows[3]], key=str)
+
+
+def test_components_with_hubs_equal_a_union_find(spark, monkeypatch):
+    import random
+
+    from scriptorium.llm import components
+    rnd = random.Random(3)
+    links = [(0, k) for k in range(1, 300)] + [(1000 + k, 900) for k in range(200)] + [(2000 + k, 2001 + k) for k in range(60)] \
+        + [(rnd.randrange(3000, 3200), rnd.randrange(3000, 3200)) for _ in range(120)] + [(5, 5), (299, 1000), (None, 1)]
+    root = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    for a, b in links:
+        if a is not None and a != b:
+            a, b = sorted((find(a), find(b)))
+            root[b] = a
+    expected = {x: find(x) for x in root if find(x) != x}
+    frame = spark.createDataFrame(links, "a long, b long")
+    for hubs in (4, 1024):  # only the hubs are broadcast, or every node
+        monkeypatch.setattr(components, "HUBS", hubs)
+        got = components.smallest_reachable(frame).collect()
+        assert {r["node"]: r["root"] for r in got} == expected and len(got) == len(expected)
+    assert components.smallest_reachable(frame.limit(0)).collect() == []
+
+
+def test_a_bucket_larger_than_what_is_gathered(spark, monkeypatch):
+    monkeypatch.setattr(op, "HELD", 7)
+    base = 0x1234_5678_9ABC_DEF0
+    fps = sorted({base ^ (1 << i) ^ (1 << j) for i in range(64) for j in range(64)})
+    frame = spark.createDataFrame([(f - (1 << 64) if f >> 63 else f,) for f in fps], "fp long").repartition(3)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50")
+    try:
+        got = op.link_components(frame).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert len(got) == len(fps) - 1 and len({r["root"] for r in got}) == 1
