@@ -17,8 +17,8 @@ def smallest_reachable(edges: DataFrame) -> DataFrame:
     one, then its smaller ones are. Each step keeps the components, and the tree depths fall
     geometrically. A node's minimum is a sum with partial results; it meets the node's links in
     a join by node, but the links of a hub stay where they are and the hubs' minima are
-    broadcast (_with_least). Every round is checkpointed in the shared folder: a lost executor
-    costs one round. Ends when all links are stars: no node has two parents, and no parent has
+    broadcast (_with_least). Every step is checkpointed in the shared folder: a lost executor
+    costs one step. Ends when all links are stars: no node has two parents, and no parent has
     one. Null ends and links to oneself are left out; no links give no rows."""
     pairs = cut(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
                         .where("a <> b").distinct())
@@ -28,7 +28,7 @@ def smallest_reachable(edges: DataFrame) -> DataFrame:
             return pairs.select(F.col("a").alias("node"), F.col("b").alias("root"))
         both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"), F.count("*").alias("n"))
-        large = _with_least(both.where("b > a"), low, total).select(F.col("b").alias("a"), F.col("m").alias("b"))
+        large = cut(_with_least(both.where("b > a"), low, total).select(F.col("b").alias("a"), F.col("m").alias("b")))
         low = large.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n"))
         tied = _with_least(large, low, total)
         # (a, m) for each a, and (b, m) for its other parents b
