@@ -15,3 +15,32 @@ def test_sql_detection_join_keeps_every_line_item(spark, tmp_path):
     _write(spark.createDataFrame([(3, "CANADA")], "n_nationkey int, n_name string"), sf, "nation")
     got = sorted(tuple(r) for r in E.queries()["sql_detection_join"](spark, sf).collect())
     assert got == [(1, n, 10 + n, "MACHINERY", "CANADA") for n in range(1, 8)] + [(2, 6, 5, None, None)]
+
+
+def test_papers_and_references_of_one_citekey_are_not_multiplied_out(spark, monkeypatch):
+    from pyspark.sql import functions as F
+    from scriptorium.plans import paper
+    merged = []
+
+    def counted(*args, **kwargs):
+        out = merge(*args, **kwargs)
+        merged.append(out.count())
+        return out
+    merge = paper.merge_papers
+    monkeypatch.setattr(paper, "merge_papers", counted)
+    n = spark.range(40)
+    art = n.select(F.concat(F.lit("a:"), F.col("id").cast("string")).alias("_akey"), F.col("id").alias("article_id"),
+                   F.lit("c").alias("citekey"), F.lit("x").alias("abstract"), F.lit("2001").alias("year"),
+                   F.when(F.col("id") > 0, F.lit("t")).alias("title"), F.lit(3).alias("number_of_pages"),
+                   F.lit(0).cast("bigint").alias("journal_pk"))
+    ref = n.select(F.lit("c:c").alias("_rkey"), F.lit("c").alias("citekey"),
+                   F.concat(F.lit("r"), (F.col("id") % 30).cast("string")).alias("title"), F.lit("1999").alias("year"),
+                   F.lit(0).cast("bigint").alias("journal_pk"), F.lit(4).alias("number_of_pages"))
+    au = art.select("_akey", F.lit(1).alias("author_position"), F.lit(None).cast("bigint").alias("author_pk"))
+    kw = art.select("_akey", F.lit(5).cast("bigint").alias("keyword_pk"))
+    ref_au = ref.select("_rkey", F.lit(7).cast("bigint").alias("ref_author_pk")).distinct()
+    out = paper.paper_tables((art, kw, au), (ref, ref_au), None)
+    assert merged == [39 + 30]  # one row an article; the one without a title has those of the references
+    titles = sorted(r.title for r in out["dim_paper"].filter("paper_pk > 0").collect())
+    assert titles == sorted(["t"] * 39 + [f"r{i}" for i in range(30)])
+    assert sorted(tuple(r) for r in out["bridge_paper_author"].select("author_pk", "author_position").collect()) == [(0, 0), (7, 1)]
