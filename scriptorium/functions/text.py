@@ -147,3 +147,17 @@ def is_blank(c: ColumnOrName) -> Column:
 def words(c: ColumnOrName) -> Column:
     """Letter runs of a text (used to derive keywords/entities from prose)."""
     return F.regexp_extract_all(_c(c), F.lit(r"\p{L}+"), 0)
+
+
+def counted(values: Column) -> Column:
+    """array<struct(value, n)>: the distinct values of an array, sorted, with their counts. Equal values lie
+    together in the sorted array; a count is the distance between the starts of two runs."""
+    def runs(ordered: Column) -> Column:
+        starts = F.filter(F.sequence(F.lit(0), F.size(ordered) - 1),
+                          lambda i: (i == 0) | (F.get(ordered, i) != F.get(ordered, i - 1)))
+        # an array of one binds a value to a name, so that it is computed once
+        return F.flatten(F.transform(F.array(starts), lambda at: F.transform(at, lambda i, k: F.struct(
+            F.get(ordered, i).alias("value"),
+            (F.coalesce(F.get(at, k + 1), F.size(ordered)) - i).cast("bigint").alias("n")))))
+    found = F.flatten(F.transform(F.array(F.array_sort(values)), runs))
+    return F.when(F.size(values) > 0, found)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..functions.weights import LABELS
+from ..session import materialize
 
 # fixed values: headings assigned to paragraphs by line number (line_no % 10)
 HEADINGS = ("Abstract", "Introduction", "Data Collection", "Sample Design",
@@ -66,23 +67,44 @@ def sentences(docs: DataFrame) -> DataFrame:
 SENTENCE_KEY = ["doc_id", "line_no", "sent_no"]
 
 
+def repeated_ids(docs: DataFrame) -> DataFrame:
+    """The doc_ids of more than one document (few or none; stored)."""
+    return materialize(docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("doc_id"), "repeated_ids")
+
+
+def by_repeated_id(rows: DataFrame, repeated: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows of documents with an id of their own, rows of those that share or lack one)."""
+    return (rows.filter(F.col("doc_id").isNotNull()).join(repeated, "doc_id", "left_anti"),
+            rows.filter(F.col("doc_id").isNull()).unionByName(rows.join(repeated, "doc_id", "left_semi")))
+
+
+def entity_counts(sentence_rows: DataFrame, sentence: str = "sentence") -> DataFrame:
+    """One row per (sentence row, entity) with its count; counted inside the row, so nothing moves."""
+    found = tx.counted(F.transform(tx.words(F.col(sentence)), F.lower))
+    return sentence_rows.select("*", F.inline(found).alias("entity_name", "entity_count")).drop(sentence)
+
+
+def label_of(entity) -> "F.Column":
+    labels = F.array(*[F.lit(x) for x in LABELS])
+    return F.element_at(labels, (F.length(entity) % len(LABELS) + 1).cast("int"))
+
+
+def merged_detections(counts: DataFrame) -> DataFrame:
+    """The counts of sentences that share a key, added up."""
+    return counts.groupBy(*SENTENCE_KEY, "entity_name").agg(F.sum("entity_count").alias("entity_count"))
+
+
 def detections(docs: DataFrame) -> DataFrame:
     """Entity facts: one row per (sentence, entity) with its count (A1).
 
     Entities are the lower-cased letter runs; the label is chosen by word length from the 16 labels. Rows carry the sentence key,
     not its text: heading and type are functions of the line number, and the
-    text is joined back only where it is read (``sentence_text``)."""
-    labels = F.array(*[F.lit(x) for x in LABELS])
-    w = (sentences(docs)
-         .select(*SENTENCE_KEY, F.explode(tx.words(F.col("sentence"))).alias("w"))
-         .withColumn("entity_name", F.lower("w")))
-    return (w.groupBy(*SENTENCE_KEY, "entity_name")
-            .agg(F.count(F.lit(1)).alias("entity_count"))
-            .withColumns({
-                "heading": heading_of("line_no"),
-                "sentence_type": sentence_type_of("line_no"),
-                "entity_label": F.element_at(labels, (F.length("entity_name") % len(LABELS) + 1)
-                                             .cast("int"))}))
+    text is joined back only where it is read (``sentence_text``). A sentence is one row, so its entities are
+    counted there; only documents that share an id, or have none, are grouped by key."""
+    own, shared = (entity_counts(sentences(d).select(*SENTENCE_KEY, "sentence"))
+                   for d in by_repeated_id(docs, repeated_ids(docs)))
+    return own.unionByName(merged_detections(shared)).withColumns({
+        "heading": heading_of("line_no"), "sentence_type": sentence_type_of("line_no"), "entity_label": label_of("entity_name")})
 
 
 def sentence_text(docs: DataFrame) -> DataFrame:

@@ -44,3 +44,18 @@ def test_papers_and_references_of_one_citekey_are_not_multiplied_out(spark, monk
     titles = sorted(r.title for r in out["dim_paper"].filter("paper_pk > 0").collect())
     assert titles == sorted(["t"] * 39 + [f"r{i}" for i in range(30)])
     assert sorted(tuple(r) for r in out["bridge_paper_author"].select("author_pk", "author_position").collect()) == [(0, 0), (7, 1)]
+
+
+def test_entities_are_counted_inside_their_sentence_and_merged_for_repeated_ids(spark):
+    from collections import Counter
+    from pyspark.sql import functions as F
+    from scriptorium.plans import analogue as an
+    docs = spark.createDataFrame([(1, "B a b. a\nc C c"), (2, None), (3, ""), (4, "1 2. ..\n"), (5, "x y"), (5, "x x. z"),
+                                  (None, "n n"), (None, "n m")], "doc_id long, text string")
+    plan = an.entity_counts(an.sentences(docs).select(*an.SENTENCE_KEY, "sentence"))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Aggregate" not in plan
+    words = an.sentences(docs).select(*an.SENTENCE_KEY, F.explode(F.regexp_extract_all("sentence", F.lit(r"\p{L}+"), 0)).alias("w"))
+    want = Counter((*r[:3], r.w.lower()) for r in words.collect())
+    got = an.detections(docs).collect()
+    assert {(r.doc_id, r.line_no, r.sent_no, r.entity_name): r.entity_count for r in got} == dict(want)
+    assert len(got) == len(want) and want[(5, 0, 0, "x")] == 3 and want[(None, 0, 0, "n")] == 3
