@@ -59,3 +59,18 @@ def test_entities_are_counted_inside_their_sentence_and_merged_for_repeated_ids(
     got = an.detections(docs).collect()
     assert {(r.doc_id, r.line_no, r.sent_no, r.entity_name): r.entity_count for r in got} == dict(want)
     assert len(got) == len(want) and want[(5, 0, 0, "x")] == 3 and want[(None, 0, 0, "n")] == 3
+
+
+def test_facts_meet_sentences_that_have_met_their_paragraphs(spark):
+    from scriptorium.plans.paper_summary import warehouse_detections
+    fact = spark.createDataFrame([(1, 1, 2), (1, 2, 3), (9, 1, 1), (2, 8, 4)], "entity_pk long, sentence_pk long, entity_count long")
+    ent = spark.createDataFrame([(1, "L", "a"), (2, "M", "b")], "entity_pk long, entity_label string, entity_name string")
+    sent = spark.createDataFrame([(1, "BODY", 5), (2, "BODY", 6)], "sentence_pk long, sentence_type string, paragraph_pk long")
+    para = spark.createDataFrame([(5, 7, "H", "T")], "paragraph_pk long, paper_pk long, heading string, paragraph_type string")
+    out = warehouse_detections(fact, ent, sent, para)
+    assert sorted(map(str, out.select("paper_pk", "sentence_pk", "heading", "entity_count", "entity_name").collect())) == sorted([
+        "Row(paper_pk=7, sentence_pk=1, heading='H', entity_count=2, entity_name='a')",
+        "Row(paper_pk=None, sentence_pk=2, heading=None, entity_count=3, entity_name='a')",
+        "Row(paper_pk=None, sentence_pk=8, heading=None, entity_count=4, entity_name='b')"])
+    facts = [line for line in out._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join" in line]
+    assert len(facts) == 3 and "LeftOuter" in facts[0] and "Inner" in facts[1] and "LeftOuter" in facts[2]
