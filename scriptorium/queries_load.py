@@ -309,8 +309,13 @@ def csv_rejected(spark: SparkSession, sf: str) -> DataFrame:
     key = F.col("o_orderkey").cast("string")
     lines = load(spark, sf, "orders").select("o_orderkey", F.when(F.col("o_orderkey") % 5 == 0, key).otherwise(
         F.concat_ws(",", key, year, F.concat(F.lit('"clerk ""'), key, F.lit('""\n'), F.lit('second line"')))).alias("value"))
-    head = spark.range(1).select(F.lit(-1).cast("long").alias("o_orderkey"), F.lit("article_id,year,note").alias("value"))
-    lines.unionByName(head).coalesce(1).sortWithinPartitions("o_orderkey").select("value").write.text(path)
+    # one file for each range of order keys, in their order, each with the header before its first record
+    header = F.lit("article_id,year,note")
+    head = spark.range(1).select(F.lit(-1).cast("long").alias("o_orderkey"), header.alias("value"))
+    first = F.monotonically_increasing_id() == F.shiftleft(F.spark_partition_id().cast("long"), 33)
+    lines.unionByName(head).repartitionByRange("o_orderkey").sortWithinPartitions("o_orderkey").select(
+        F.when(first & (F.col("value") != header), F.concat(header, F.lit("\n"), "value")).otherwise(F.col("value")).alias("value")) \
+        .write.text(path)
     schema = T.StructType([T.StructField("article_id", T.LongType()), T.StructField("year", T.IntegerType()),
                            T.StructField("note", T.StringType())])
-    return rejected_cells(spark, path, schema).select("record_no", "column_name", "cell")
+    return rejected_cells(spark, path, schema, onward=True).select("record_no", "column_name", "cell")

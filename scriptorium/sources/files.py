@@ -54,11 +54,12 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType, multiline: bo
     return _typed(normalise_missing(rows.select(*[F.col("cells").getField(f.name).alias(f.name) for f in schema.fields])), schema)
 
 
-def rejected_cells(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def rejected_cells(spark: SparkSession, path: str, schema: T.StructType, onward: bool = False) -> DataFrame:
     """What a read of ``path`` can't use, with its origin: (file, record_no, column_name, cell).
 
     A cell that holds text but no value of its column's type has its column's name; a record with too few or
-    too many cells has none, and ``cell`` is the record. Records are numbered in each file from 1, the header."""
+    too many cells has none, and ``cell`` is the record. Records are numbered in each file from 1, the header;
+    ``onward`` numbers the files of a folder, in the order of their names, as one file under one header."""
     rows, names = _cut_csv(spark, path, schema)
     typed = [f for f in schema.fields if not isinstance(f.dataType, T.StringType)]
 
@@ -68,7 +69,8 @@ def rejected_cells(spark: SparkSession, path: str, schema: T.StructType) -> Data
     bad = [F.when(cell(f).isNotNull() & _cell_value(cell(f), f.dataType).isNull(),
                   F.struct(F.lit(f.name).alias("column_name"), cell(f).alias("cell"))) for f in typed]
     whole = F.when(F.col("malformed").isNotNull(), F.struct(F.lit(None).cast("string").alias("column_name"), F.col("malformed").alias("cell")))
-    return rows.select("file", "record_no", F.inline(F.array_compact(F.array(whole, *bad))))
+    number = F.col("onward_no" if onward else "record_no").alias("record_no")
+    return rows.select("file", number, F.inline(F.array_compact(F.array(whole, *bad))))
 
 
 def read_sources(spark: SparkSession, folder: str, schemas: dict[str, T.StructType],

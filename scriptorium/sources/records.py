@@ -40,40 +40,49 @@ def physical_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _parities(lines: DataFrame) -> DataFrame:
-    """(file, block, inside): whether a split starts inside quotes; one row for each split."""
+    """(file, block, inside, split): whether a split starts inside quotes, and its number; one row for each split."""
     splits = materialize(lines.groupBy(*SPLIT).agg(F.sum("odd").alias("quotes")), "splits")
     unpaired = splits.groupBy("file").agg(F.sum("quotes").alias("q")).where("q % 2 = 1").orderBy("file").limit(10).collect()
     if unpaired:
         raise ValueError(f"quotes don't pair up in {[r['file'] for r in unpaired]}")
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    return splits.select(*SPLIT, (F.coalesce(F.sum("quotes").over(before), F.lit(0)) % 2).alias("inside"))
+    return splits.select(*SPLIT, (F.coalesce(F.sum("quotes").over(before), F.lit(0)) % 2).alias("inside"),
+                         F.row_number().over(Window.orderBy(*SPLIT)).alias("split"))
 
 
 def records(spark: SparkSession, path: str) -> DataFrame:
-    """(file, record_no, record): every record of every file, header included, line breaks kept."""
+    """(file, record_no, onward_no, record): every record of every file, header included, line breaks kept.
+    ``onward_no`` numbers the records of all files, by their names, as if they were one file with one header."""
     lines = physical_lines(spark, path)
-    here = lines.join(_parities(lines), SPLIT)
-    order = Window.partitionBy(*SPLIT).orderBy("at")
+    parities = _parities(lines)
+    here = lines.join(parities, SPLIT).drop(*SPLIT)  # lines are sorted with their split's number, not with its path
+    order = Window.partitionBy("split").orderBy("at")
     before = order.rowsBetween(Window.unboundedPreceding, -1)
     starts = ((F.col("inside") + F.coalesce(F.sum("odd").over(before), F.lit(0))) % 2 == 0).cast("int")
     numbered = here.withColumn("starts", starts).withColumn(
         "rec", F.sum("starts").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     # the lines of a record in their order; record 0 of a split belongs to an earlier split's last one
-    pieces = materialize(numbered.groupBy(*SPLIT, "rec").agg(F.array_join(F.transform(
+    pieces = materialize(numbered.groupBy("split", "rec").agg(F.array_join(F.transform(
         F.sort_array(F.collect_list(F.struct("at", "line"))), lambda x: x["line"]), "\n").alias("text")), "records")
+    pieces = pieces.join(parities.select(*SPLIT, "split"), "split")
     splits = pieces.groupBy(*SPLIT).agg(F.max("rec").alias("last"))
     along = Window.partitionBy("file").orderBy("block")
     earlier = along.rowsBetween(Window.unboundedPreceding, -1)
     has = F.when(F.col("last") > 0, F.struct("block", "last"))
     placed = materialize(splits.select(  # one row for each split
-        *SPLIT, F.coalesce(F.sum("last").over(earlier), F.lit(0)).alias("offset"),
+        *SPLIT, "last", F.coalesce(F.sum("last").over(earlier), F.lit(0)).alias("offset"),
         F.last(has, ignorenulls=True).over(earlier).alias("owner")), "placed")
     tails = pieces.where("rec = 0").join(placed, SPLIT).groupBy("file", F.col("owner.block").alias("block"),
                                                               F.col("owner.last").alias("rec")) \
         .agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("block", "text"))), lambda x: x["text"]), "\n").alias("tail"))
-    whole = pieces.where("rec > 0").join(tails, [*SPLIT, "rec"], "left").join(placed.select(*SPLIT, "offset"), SPLIT)
+    files = placed.groupBy("file").agg(F.sum("last").alias("n"))  # one row for each file
+    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    files = files.select("file", F.coalesce(F.sum(F.col("n") - 1).over(before), F.lit(0)).alias("earlier"))
+    whole = pieces.where("rec > 0").join(tails, [*SPLIT, "rec"], "left").join(
+        placed.select(*SPLIT, "offset").join(files, "file"), SPLIT)
     text = F.concat(F.col("text"), F.coalesce(F.concat(F.lit("\n"), "tail"), F.lit("")))
-    return whole.select("file", (F.col("offset") + F.col("rec")).alias("record_no"),
+    number = F.col("offset") + F.col("rec")
+    return whole.select("file", number.alias("record_no"), (F.col("earlier") + number).alias("onward_no"),
                         F.regexp_replace(text, "\r$", "").alias("record"))
 
 
@@ -95,7 +104,7 @@ def header(rows: DataFrame) -> list[str]:
 
 
 def cells(rows: DataFrame, names: list[str]) -> DataFrame:
-    """(file, record_no, cells struct<names...>, malformed): the records cut into cells; ``malformed`` is
+    """(file, record_no, onward_no, cells struct<names...>, malformed): the records cut into cells; ``malformed`` is
     the record itself where it has too few or too many cells."""
     bad = "_malformed"
     while bad in names:
@@ -104,6 +113,6 @@ def cells(rows: DataFrame, names: list[str]) -> DataFrame:
     parsed = F.from_csv("record", F.lit(", ".join(quoted)),
                         {"quote": '"', "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": bad})
     # an empty line is no record
-    return rows.where("record_no > 1 AND record <> ''").select("file", "record_no", parsed.alias("p")).select(
-        "file", "record_no", F.struct(*[F.col("p").getField(n).alias(n) for n in names]).alias("cells"),
+    return rows.where("record_no > 1 AND record <> ''").select("file", "record_no", "onward_no", parsed.alias("p")).select(
+        "file", "record_no", "onward_no", F.struct(*[F.col("p").getField(n).alias(n) for n in names]).alias("cells"),
         F.col("p").getField(bad).alias("malformed"))

@@ -88,3 +88,47 @@ def test_query_scan_leaves_a_users_view_alone(spark):
     assert sorted(r.k for r in got.collect()) == [4, 5, 6]
     assert spark.table("t").count() == 3
     spark.catalog.dropTempView("t")
+
+
+def test_records_of_a_folder_are_numbered_on_over_its_files(spark, tmp_path, small_splits):
+    from scriptorium.sources.files import rejected_cells
+    (tmp_path / "a.csv").write_text('id,text,n\n1,"x\ny",1\n2,short\n')
+    (tmp_path / "b.csv").write_text("id,text,n\n")
+    (tmp_path / "c.csv").write_text("id,text,n\n3,short\n4,z,many\n")
+    bad = rejected_cells(spark, str(tmp_path), SCHEMA, onward=True)
+    assert sorted((r.record_no, r.column_name, r.cell) for r in bad.collect()) == [
+        (3, None, "2,short"), (4, None, "3,short"), (5, "n", "many")]
+
+
+def test_csv_rejected_writes_no_input_in_one_task(spark, tmp_path, monkeypatch):
+    import os
+
+    import __spark_entry__ as E
+    from scriptorium import session
+    kept = session.scratch_path
+    monkeypatch.setattr(session, "scratch_path", lambda s, n: str(tmp_path / n) if n == "csv_rejected" else kept(s, n))
+    spark.range(1, 2001).selectExpr("id AS o_orderkey", "id % 50 AS o_custkey", "'2-HIGH' AS o_orderpriority") \
+        .write.parquet(str(tmp_path / "orders.parquet"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        got = E.queries()["csv_rejected"](spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    want = [(k + 1, None, str(k)) if k % 5 == 0 else (k + 1, "year", "2-HIGH") for k in range(1, 2001) if k % 5 == 0 or k % 7 == 0]
+    assert sorted(map(tuple, got)) == want
+    sizes = [os.path.getsize(tmp_path / "csv_rejected" / f) for f in os.listdir(tmp_path / "csv_rejected") if f.endswith(".txt")]
+    assert len(sizes) > 4 and max(sizes) < sum(sizes) / 3
+
+
+def test_a_split_is_sorted_without_its_path(spark, tmp_path, small_splits, monkeypatch):
+    from scriptorium.sources import records
+    write(tmp_path / "a.csv", some_rows(1))
+    plans, store = [], records.materialize
+
+    def kept(df, name):
+        plans.append((name, df._jdf.queryExecution().optimizedPlan().toString()))
+        return store(df, name)
+    monkeypatch.setattr(records, "materialize", kept)
+    records.records(spark, str(tmp_path / "a.csv"))
+    windows = [line for name, p in plans if name == "records" for line in p.splitlines() if "Window [" in line and ", at#" in line]
+    assert windows and not any("file#" in line for line in windows)
