@@ -306,15 +306,16 @@ def csv_rejected(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "csv_rejected")
     year = F.when(F.col("o_orderkey") % 7 == 0, F.col("o_orderpriority")).when(F.col("o_orderkey") % 11 == 0, F.lit("NA")) \
         .otherwise(F.concat(F.col("o_custkey").cast("string"), F.lit(".0")))
-    key = F.col("o_orderkey").cast("string")
+    key = F.coalesce(F.col("o_orderkey").cast("string"), F.lit(""))
     lines = load(spark, sf, "orders").select("o_orderkey", F.when(F.col("o_orderkey") % 5 == 0, key).otherwise(
         F.concat_ws(",", key, year, F.concat(F.lit('"clerk ""'), key, F.lit('""\n'), F.lit('second line"')))).alias("value"))
     # one file for each range of order keys, in their order, each with the header before its first record
     header = F.lit("article_id,year,note")
-    head = spark.range(1).select(F.lit(-1).cast("long").alias("o_orderkey"), header.alias("value"))
+    head = spark.range(1).select(F.lit(None).cast("long").alias("o_orderkey"), header.alias("value"), F.lit(True).alias("head"))
+    order = [F.desc("head"), F.asc_nulls_last("o_orderkey")]
     first = F.monotonically_increasing_id() == F.shiftleft(F.spark_partition_id().cast("long"), 33)
-    lines.unionByName(head).repartitionByRange("o_orderkey").sortWithinPartitions("o_orderkey").select(
-        F.when(first & (F.col("value") != header), F.concat(header, F.lit("\n"), "value")).otherwise(F.col("value")).alias("value")) \
+    lines.withColumn("head", F.lit(False)).unionByName(head).repartitionByRange(*order).sortWithinPartitions(*order).select(
+        F.when(first & ~F.col("head"), F.concat(header, F.lit("\n"), "value")).otherwise(F.col("value")).alias("value")) \
         .write.text(path)
     schema = T.StructType([T.StructField("article_id", T.LongType()), T.StructField("year", T.IntegerType()),
                            T.StructField("note", T.StringType())])

@@ -107,7 +107,7 @@ def test_csv_rejected_writes_no_input_in_one_task(spark, tmp_path, monkeypatch):
     from scriptorium import session
     kept = session.scratch_path
     monkeypatch.setattr(session, "scratch_path", lambda s, n: str(tmp_path / n) if n == "csv_rejected" else kept(s, n))
-    spark.range(1, 2001).selectExpr("id AS o_orderkey", "id % 50 AS o_custkey", "'2-HIGH' AS o_orderpriority") \
+    spark.range(1, 2011).selectExpr("IF(id > 2000, NULL, id) AS o_orderkey", "id % 50 AS o_custkey", "'2-HIGH' AS o_orderpriority") \
         .write.parquet(str(tmp_path / "orders.parquet"))
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
