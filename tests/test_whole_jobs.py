@@ -74,3 +74,52 @@ def test_facts_meet_sentences_that_have_met_their_paragraphs(spark):
         "Row(paper_pk=None, sentence_pk=8, heading=None, entity_count=4, entity_name='b')"])
     facts = [line for line in out._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join" in line]
     assert len(facts) == 3 and "LeftOuter" in facts[0] and "Inner" in facts[1] and "LeftOuter" in facts[2]
+
+
+def _reads_only(df):
+    """Whether a plan reads stored rows without joining anything again."""
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return "Join" not in plan and "Relation" in plan
+
+
+def test_members_and_bridges_of_papers_are_made_once(spark):
+    from scriptorium.plans import paper
+    named = lambda ddl, *rows: spark.createDataFrame(list(rows), ddl)
+    papers = named("article_id long, citekey string, title string, abstract string, year string, number_of_pages string, journal string, "
+                   "journal_akronym string, publisher string, place string, volume string, issue string, keywords string, authors string",
+                   (1, "c", "t", "x", "2001", "3", *[None] * 8))
+    keywords = named("article_id long, keyword string", (1, "K"), (1, "k"), (2, "l"), (None, "l"))
+    authors = named("article_id long, fullname string, author_position int", (1, "Doe, Ann", 2), (1, "Doe, Ann", 2), (3, "Roe", 1))
+    dim_keyword = named("keyword_pk long, keyword_string string", (1, "k"), (2, "l"))
+    dim_author = named("author_pk long, surname string, firstname string, middlename string", (1, "Doe", "Ann", "MISSING"))
+    dim_journal = named("journal_pk long, title string, volume int, issue int, publisher string, place string", (7, "j", 0, 0, "p", "q"))
+    one, kw, au = paper.article_parts(papers, keywords, authors, dim_keyword, dim_author, dim_journal)
+    assert _reads_only(kw) and _reads_only(au)
+    assert sorted(map(tuple, kw.collect())) == [("a:1", 1), ("a:2", 2), ("none", 2)]
+    assert sorted(map(tuple, au.collect())) == [("a:1", 2, 1), ("a:3", 1, None)]
+    assert sorted((r._akey, r.article_id) for r in one.collect()) == [("a:1", 1), ("a:2", 2), ("a:3", 3), ("none", None)]
+    ref = named("_rkey string, citekey string, title string, year string, journal_pk long, number_of_pages int", ("c:r", "r", "t", "1999", 0, 4))
+    ref_au = named("_rkey string, ref_author_pk long", ("c:r", 9))
+    tables = paper.paper_tables((one, kw, au), (ref, ref_au), None)
+    for name in ("dim_keywordgroup", "bridge_paper_keyword", "dim_authorgroup", "bridge_paper_author"):
+        assert _reads_only(tables[name]), name
+    assert {t: df.count() for t, df in tables.items()} == {
+        "dim_keywordgroup": 4, "bridge_paper_keyword": 5, "dim_authorgroup": 4, "bridge_paper_author": 5, "dim_paper": 6}
+
+
+def test_a_fact_delta_meets_its_target_once(spark):
+    from scriptorium.operators.delta import fact_delta
+    source = spark.createDataFrame([(1, 1, 5), (1, 2, 6), (2, 1, 7), (None, 1, 8)], "a long, b long, n long")
+    target = spark.createDataFrame([(1, 1, 5), (1, 2, 9), (3, 3, 1)], "a long, b long, n long")
+    new, changed = fact_delta(source, target, ["a", "b"], "n")
+    assert _reads_only(new) and _reads_only(changed)
+    assert sorted(map(tuple, new.collect()), key=str) == [(2, 1, 7), (None, 1, 8)]
+    assert list(map(tuple, changed.collect())) == [(1, 2, 6, 9)]
+    assert changed.columns == ["a", "b", "n", "previous_n"]
+
+
+def test_sources_of_small_files_are_dealt_out(spark):
+    from scriptorium.queries_load import _part_sources
+    sources = _part_sources(spark, "/root/testdata/sf0.001", True)
+    for name in ("entities.csv", "papers_final.csv", "unique_references.csv"):
+        assert "RepartitionByExpression" in sources[name]._jdf.queryExecution().optimizedPlan().toString()
