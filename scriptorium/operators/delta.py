@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import materialize
 from .keys import max_key, number_rows
 
 
@@ -97,11 +98,13 @@ def fact_delta(source: DataFrame, target: DataFrame | None, pk: list[str],
 
     New facts have a primary key absent from the target and are appended;
     facts whose key exists with another measure are returned apart (the
-    reference would re-insert the key and lose the whole batch)."""
+    reference would re-insert the key and lose the whole batch). The source meets
+    the target once; rows that are neither are not stored."""
     if target is None:
         return source, source.filter(F.lit(False))
-    s, t, cond = _matched(source, target, pk, False, {measure: f"previous_{measure}"})
-    new = s.join(t, cond, "left_anti").drop(MATCH)
-    changed = (s.join(t, cond, "inner").filter(~F.col(measure).eqNullSafe(F.col(f"previous_{measure}")))
-               .select(*source.columns, f"previous_{measure}"))
-    return new, changed
+    previous = f"previous_{measure}"
+    s, t, cond = _matched(source, target, pk, False, {measure: previous})
+    met = s.join(t.withColumn("_known", F.lit(True)), cond, "left").select(
+        *source.columns, previous, F.col("_known").isNotNull().alias("_known"))
+    met = materialize(met.filter(~F.col("_known") | ~F.col(measure).eqNullSafe(F.col(previous))), "fact_rows")
+    return met.filter("NOT _known").select(*source.columns), met.filter("_known").drop("_known")

@@ -119,8 +119,9 @@ def full_load(spark: SparkSession, sf: str) -> DataFrame:
 
 def _part_sources(spark: SparkSession, sf: str, second: bool) -> dict[str, DataFrame]:
     from .schemas import SOURCES
-    part = load(spark, sf, "part")
-    sup = load(spark, sf, "supplier")
+    # a few small files, of which eight sources are built: dealt out, so that no task builds a whole source
+    part = load(spark, sf, "part").repartition("p_partkey")
+    sup = load(spark, sf, "supplier").repartition("s_suppkey")
     key = F.col("p_partkey").cast("string")
     word = F.split_part("p_name", F.lit(" "), F.lit(1))
     paths = [F.struct(F.col("p_type").alias("ent_id"), F.col("p_type").alias("ent_path")),
