@@ -123,3 +123,52 @@ def test_sources_of_small_files_are_dealt_out(spark):
     sources = _part_sources(spark, "/root/testdata/sf0.001", True)
     for name in ("entities.csv", "papers_final.csv", "unique_references.csv"):
         assert "RepartitionByExpression" in sources[name]._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_aggregation_paper_works_in_parts_and_frees_their_disk(spark, tmp_path, monkeypatch):
+    import glob
+    import __spark_entry__ as E
+    from scriptorium import bindings
+    from scriptorium.operators import skew
+    from scriptorium.session import SPARING, ensure_checkpoint_dir
+    words = "alpha beta gamma delta 12 sampling 0.5 epsilon participants theta 7 iota kappa lambda eleven mu".split()
+    docs = [(i % 23 if i < 30 else None, "src", "en", "\n".join(". ".join(" ".join(
+        words[(i * j + k) % len(words)] for k in range(j % 6 + 1)) for j in range(i % 4 + 2)) for _ in range(i % 3 + 1))) for i in range(32)]
+    _write(spark.createDataFrame(docs, "doc_id long, source string, lang string, text string"), str(tmp_path), "documents")
+    made = {}
+
+    def counted(store):
+        def run(parts, name="stage"):
+            frames = list(parts)
+            made[name] = len(frames)
+            return store(frames, name)
+        return run
+    run = lambda: sorted(map(tuple, E.queries()["aggregation_paper"](spark, str(tmp_path)).collect()), key=str)
+    whole = run()
+    assert len(whole) == 31  # the papers with an id, and the unknown one
+    before = {key: spark.conf.get(key, None) for key in SPARING}
+    tables = lambda name: {*glob.glob(f"{ensure_checkpoint_dir(spark).removeprefix('file:')}/tables/{name}-*")}
+    were = {name: tables(name) for name in ("facts", "named_facts", "places", "votes")}
+    assert not were["facts"] and not were["places"] and were["votes"]
+    monkeypatch.setattr(skew, "PART_ROWS", 400)
+    monkeypatch.setattr(bindings, "materialize_parts", counted(bindings.materialize_parts))
+    assert run() == whole
+    assert made["sentences"] > 1 and made["facts"] > 1
+    assert not tables("facts") and not tables("named_facts") and not tables("places")
+    assert {key: spark.conf.get(key, None) for key in SPARING} == before
+    voted = spark.createDataFrame([(i % 5 if i % 7 else None, i) for i in range(100)], "paper_pk long, n int")
+    parts = [voted.filter(p) for p in skew.part_filters(voted, "paper_pk", 40)]
+    assert len(parts) == 3 and sorted(r.n for p in parts for r in p.collect()) == list(range(100))
+
+
+def test_headings_are_matched_with_their_paragraph(spark):
+    from pyspark.sql import functions as F
+    from scriptorium.functions.weights import LABELS, heading_hits, rule_weight, sentence_weight
+    names = ["data collection method", "sampling", "theory", "validity", "other", None]
+    heads = ["Data", "Methods", "    x", "Results", "Testing", "none", None]
+    rows = [(lab, n, c, t, h) for lab in [*LABELS, "X", None] for n in names for c in (1, 3, None) for t in ("ABSTRACT", "BODY", None) for h in heads]
+    df = spark.createDataFrame(rows, "entity_label string, entity_name string, entity_count long, sentence_type string, heading string")
+    args = ("entity_label", "entity_name", "entity_count", "sentence_type", "heading")
+    out = df.withColumns({"hits": heading_hits("heading"), "w": rule_weight(*args), "ws": rule_weight(*args, for_sentence=True)}) \
+        .withColumn("w2", rule_weight(*args, hits="hits")).withColumn("ws2", sentence_weight(*args[:3], "w2"))
+    assert out.count() == len(rows) and out.filter(~F.col("w").eqNullSafe(F.col("w2")) | ~F.col("ws").eqNullSafe(F.col("ws2"))).isEmpty()
