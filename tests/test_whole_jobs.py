@@ -172,3 +172,52 @@ def test_headings_are_matched_with_their_paragraph(spark):
     out = df.withColumns({"hits": heading_hits("heading"), "w": rule_weight(*args), "ws": rule_weight(*args, for_sentence=True)}) \
         .withColumn("w2", rule_weight(*args, hits="hits")).withColumn("ws2", sentence_weight(*args[:3], "w2"))
     assert out.count() == len(rows) and out.filter(~F.col("w").eqNullSafe(F.col("w2")) | ~F.col("ws").eqNullSafe(F.col("ws2"))).isEmpty()
+
+
+def test_sources_of_a_full_load_are_read_once_and_in_pieces(spark, tmp_path):
+    from scriptorium.queries_load import derived_sources
+    sf, line = str(tmp_path), "The cat. A Cat the\nend"
+    docs = [(i % 40, line + f" w{chr(97 + i % 26)}", "en", "web", 10 * i) for i in range(60)] + [(None, line, "es", "web", 1)] * 2 + [(99, None, "en", "x", 0)]
+    _write(spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").coalesce(1), sf, "documents")
+    _write(spark.createDataFrame([(i, "red fox", "TYPE", "B", i) for i in range(1, 9)],
+                                 "p_partkey long, p_name string, p_type string, p_brand string, p_size int").coalesce(1), sf, "part")
+    _write(spark.createDataFrame([(1, 1, 1, 1), (1, 2, 9, 2), (None, 3, 4, 3), (2, 4, None, 1)],
+                                 "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int"), sf, "lineitem")
+    _write(spark.createDataFrame([(1, 0), (2, 1), (4, None)], "s_suppkey long, s_nationkey int"), sf, "supplier")
+    _write(spark.createDataFrame([(0, "PERU"), (1, "CHILE")], "n_nationkey int, n_name string"), sf, "nation")
+    merging = "spark.sql.adaptive.coalescePartitions.enabled"  # small pieces are merged
+    spark.conf.set(merging, "false")
+    try:
+        sources = derived_sources(spark, sf)
+    finally:
+        spark.conf.set(merging, "true")
+    for name in ("keywords.csv", "authors.csv", "unique_references.csv"):
+        assert _reads_only(sources[name]), name
+    assert len(sources["papers_final.csv"].inputFiles()) > 1  # one row group was read by one task
+    words = {(d[0], w) for d in docs if d[1] for w in d[1].replace(".", "").split()}
+    got = [tuple(r) for r in sources["keywords.csv"].select("article_id", "keyword").collect()]
+    assert len(got) == len(words) and set(got) == words
+    assert sources["papers_final.csv"].count() == 63 and sources["authors.csv"].count() == 4
+    assert sources["unique_references.csv"].count() == 8
+
+
+def test_names_are_cleaned_by_spelling_not_by_row(spark):
+    from scriptorium.operators.mode import attribute_votes, mode_per_attribute
+    from scriptorium.plans import author, paper
+    rows = [(i % 3, "Doe, Ann" + ("1" if i % 4 == 0 else ""), "a@x" if i % 5 else None, "d", None, "PERU" if i % 3 else "CHILE", i % 2) for i in range(24)]
+    rows += [(7, None, "n@x", "d", "i", None, 1), (8, "Roe", None, None, None, None, 1), (8, "(Roe)", "r@x", None, None, None, 2)]
+    src = spark.createDataFrame(rows, "article_id long, fullname string, email string, departments string, institutions string, countries string, author_position int")
+    counted = attribute_votes(src, ["fullname"], ["email", "countries"])
+    assert counted.count() < 24 and counted.filter("_attr = 'email'").groupBy().sum("_n").first()[0] == len(rows)
+    a = author.split_names(src.withColumnsRenamed({"departments": "department", "institutions": "institution", "countries": "country"}))
+    whole = mode_per_attribute(mode_per_attribute(a, ["fullname"], author.ATTRS, first_cols=author.NAME).drop("fullname"), author.NAME, author.ATTRS)
+    got = author.conform_authors(src)
+    assert sorted(map(str, got.select(*whole.columns).collect())) == sorted(map(str, whole.collect())) and got.count() == 3
+    named = lambda ddl, *r: spark.createDataFrame(list(r), ddl)
+    papers = named("article_id long, citekey string, title string, abstract string, year string, number_of_pages string, journal string, "
+                   "journal_akronym string, publisher string, place string, volume string, issue string, keywords string, authors string")
+    dim_author = named("author_pk long, surname string, firstname string, middlename string", (0, *["MISSING"] * 3), (5, "Doe", "Ann", "MISSING"))
+    _, _, au = paper.article_parts(papers, named("article_id long, keyword string"), src, named("keyword_pk long, keyword_string string"), dim_author,
+                                   named("journal_pk long, title string, volume int, issue int, publisher string, place string"))
+    assert sorted(map(str, map(tuple, au.collect()))) == sorted(map(str, {
+        (f"a:{r[0]}", r[6], 0 if r[1] is None else 5 if "Doe" in r[1] else None) for r in rows}))
